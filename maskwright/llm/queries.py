@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, sharding
+from . import packing, quality, sharding, substring
 from ._common import table
 
 
@@ -21,6 +21,11 @@ def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13, period=7, texts=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -32,6 +37,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_distribution_divergence": op3_distribution_divergence,
+    "op7_difference_cover": op7_difference_cover,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
 }
