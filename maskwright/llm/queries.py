@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, sharding, substring
+from . import packing, quality, sharding, substring, suffix
 from ._common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, texts=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_longest_previous_factor": op2_longest_previous_factor,
     "op3_distribution_divergence": op3_distribution_divergence,
     "op7_difference_cover": op7_difference_cover,
     "op9_best_fit_packing": op9_best_fit_packing,
