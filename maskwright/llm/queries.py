@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, sharding, substring, suffix
+from . import minhash, packing, quality, sharding, substring, suffix
 from ._common import table
 
 
@@ -26,6 +26,10 @@ def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_fast_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), rule=minhash.Near(num=85, den=100, words=5))
+
+
 def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13, period=7, texts=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -43,6 +47,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_longest_previous_factor": op2_longest_previous_factor,
     "op3_distribution_divergence": op3_distribution_divergence,
+    "op5_fast_similarity_sketch": op5_fast_similarity_sketch,
     "op7_difference_cover": op7_difference_cover,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
