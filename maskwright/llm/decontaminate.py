@@ -17,17 +17,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import LOWER_VALUES, U64, bounds, fmix, text_buffer, windows, words
+from ._common import U64, VALUES, bounds, fmix, text_buffer, windows, words
 from .quality import _slices
 
-#: Words are runs of ASCII letters and digits and of any characters beyond ASCII; case of A-Z doesn't count.
+#: Words are runs of ASCII letters and digits and of any characters beyond ASCII, in lower case.
 BETWEEN = np.ones(256, bool)
 BETWEEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -41,34 +43,43 @@ class Leak:
     bits: int = 6
     samples: int = 32
     #: Share of edited copies of the items that the samples must find, and walks at most.
-    recall: float = 0.995
-    most_walks: int = 64
+    recall: float = 0.9995
+    most_walks: int = 256
+    #: Edited copies that the number of walks is chosen on.
+    trials: int = 1500
     #: Items that every task holds; more are searched in several passes over the documents.
     items_at_once: int = 4096
 
 
 def item_words(texts: list[str | None]) -> list[np.ndarray]:
     """Hashes of the words of each text."""
-    data, offsets = text_buffer(pa.array(texts, pa.string()))
-    _, _, row, h = words(data, offsets, LOWER_VALUES, BETWEEN)
+    data, offsets = text_buffer(pc.utf8_lower(pa.array(texts, pa.string())))
+    _, _, row, h = words(data, offsets, VALUES, BETWEEN)
     begin = bounds(row, len(texts))
     return [h[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
 
 
-def walks(seqs: list[np.ndarray], seed: int, steps: int) -> np.ndarray:
-    """CGK embeddings of word sequences: the word read at each step, 0 after the end."""
-    n = len(seqs)
-    size = np.array([len(s) for s in seqs])
+def _worded(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Stretches of a batch, with row and hash of each word."""
+    for own, _, _ in _slices(batch, text):
+        data, offsets = text_buffer(pc.utf8_lower(own[text]))
+        _, _, row, h = words(data, offsets, VALUES, BETWEEN)
+        yield own, row, h
+
+
+def walks(seqs: list[np.ndarray], seeds: np.ndarray, steps: int) -> np.ndarray:
+    """CGK embeddings of word sequences by the walk of each seed: the word read at each step, 0 after the end. sequences x seeds x steps."""
+    size = np.array([len(s) for s in seqs])[:, None]
     flat = np.concatenate([*seqs, np.zeros(1, U64)])
-    begin = np.r_[0, np.cumsum(size)[:-1]]
-    at = np.zeros(n, np.int64)
-    out = np.zeros((n, steps), U64)
+    begin = np.r_[0, np.cumsum(size[:-1, 0])][:, None]
+    at = np.zeros((len(seqs), len(seeds)), np.int64)
+    out = np.zeros((len(seqs), len(seeds), steps), U64)
+    rolls = fmix(seeds.astype(U64)[None, :] * U64(100_003) + np.arange(1, steps + 1, dtype=U64)[:, None])
     for j in range(steps):
         inside = at < size
         word = np.where(inside, flat[np.where(inside, begin + at, len(flat) - 1)], U64(0))
-        out[:, j] = word
-        on = fmix(word ^ fmix(np.array([seed * 100_003 + j + 1], U64))) & U64(1)
-        at += (on.astype(np.int64)) & inside
+        out[:, :, j] = word
+        at += (fmix(word ^ rolls[j][None, :]) & U64(1)).astype(np.int64) & inside
     return out
 
 
@@ -78,11 +89,16 @@ def samples(seed: int, n: int, rule: Leak) -> np.ndarray:
     return rng.integers(0, max(2 * n, 1), (rule.samples, rule.bits))
 
 
-def signatures(embedded: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hash of each sample: rows x samples."""
-    out = np.zeros((len(embedded), len(at)), U64)
-    for j in range(at.shape[1]):
-        out = fmix(out * U64(0x9E3779B97F4A7C15) + embedded[:, at[:, j]])
+def signatures(seqs: list[np.ndarray], n: int, seeds: np.ndarray, rule: Leak) -> np.ndarray:
+    """Hash of each sample of each walk, for items of n words: sequences x seeds x samples."""
+    out = np.zeros((len(seqs), len(seeds), rule.samples), U64)
+    at = np.stack([samples(int(seed), n, rule) for seed in seeds])  # seeds x samples x bits
+    each = np.arange(len(seeds))[:, None]
+    for lo in range(0, len(seqs), 256):  # to bound the walks' memory
+        embedded = walks(seqs[lo : lo + 256], seeds, 3 * n)
+        part = out[lo : lo + 256]
+        for j in range(rule.bits):
+            part[:] = fmix(part * U64(0x9E3779B97F4A7C15) + embedded[:, each, at[:, :, j]])
     return out
 
 
@@ -127,34 +143,35 @@ class Index:
         for k, found in runs.items():
             found.sort()
             self.runs[k] = tuple(np.array([x[c] for x in found], U64 if c == 0 else np.int64) for c in range(3))
+        self.by_size: dict[int, np.ndarray] = {n: np.array([i for i, w in enumerate(self.items) if len(w) == n]) for n in {len(w) for w in self.items}}
         self.walks = self._walks_for_recall()
-        self.signed = [self._signed(seed) for seed in range(self.walks)]
+        self.signed = self._signed(np.arange(self.walks))
 
-    def _signed(self, seed: int) -> np.ndarray:
-        out = np.zeros((len(self.items), self.rule.samples), U64)
-        for n in {len(w) for w in self.items}:
-            own = [i for i, w in enumerate(self.items) if len(w) == n]
-            out[own] = signatures(walks([self.items[i] for i in own], seed, 3 * n), samples(seed, n, self.rule))
+    def _signed(self, seeds: np.ndarray) -> np.ndarray:
+        """Signatures of the items: items x seeds x samples."""
+        out = np.zeros((len(self.items), len(seeds), self.rule.samples), U64)
+        for n, own in self.by_size.items():
+            out[own] = signatures([self.items[i] for i in own], n, seeds, self.rule)
         return out
 
-    def alike(self, seqs: list[np.ndarray], item: np.ndarray, signed: list[np.ndarray] | None = None) -> np.ndarray:
+    def alike(self, seqs: list[np.ndarray], item: np.ndarray) -> np.ndarray:
         """Whether each sequence equals its item in some sample of some walk."""
         found = np.zeros(len(seqs), bool)
         sizes = np.array([len(self.items[i]) for i in item], np.int64)
-        for seed, own in enumerate(self.signed if signed is None else signed):
-            for n in np.unique(sizes[~found]):
+        for seeds in (np.arange(1), np.arange(1, self.walks)):  # the first walk finds all exact copies
+            for n in np.unique(sizes[~found]) if len(seeds) else ():
                 at = np.flatnonzero(~found & (sizes == n))
-                theirs = signatures(walks([seqs[i] for i in at], seed, 3 * int(n)), samples(seed, int(n), self.rule))
-                found[at] = (theirs == own[item[at]]).any(axis=1)
+                theirs = signatures([seqs[i] for i in at], int(n), seeds, self.rule)
+                found[at] = (theirs == self.signed[item[at]][:, seeds]).any(axis=(1, 2))
         return found
 
     def _walks_for_recall(self) -> int:
         """The number of walks at which edited copies of the items, with as many edits as are allowed, are found."""
         rng = np.random.default_rng(1)
         seqs, item = [], []
-        pick = rng.permutation(len(self.items))[:200]
+        pick = rng.permutation(len(self.items))[: self.rule.trials]
         for i in pick:
-            for _ in range(3):
+            for _ in range(-(-self.rule.trials // len(pick))):
                 w = self.items[i].tolist()
                 for _ in range(self.most[i]):
                     at, what = int(rng.integers(0, max(1, len(w)))), int(rng.integers(0, 3))
@@ -164,18 +181,19 @@ class Index:
                 w = (w + [int(x) for x in rng.integers(1, 2**63, self.most[i])])[: len(self.items[i])]
                 seqs.append(np.array(w, U64))
                 item.append(i)
-        item_, missed = np.array(item, np.int64), np.arange(len(seqs))
-        for seed in range(self.rule.most_walks):
-            if len(missed) <= (1 - self.rule.recall) * len(seqs):
-                return max(1, seed)
-            own = self._signed(seed)
-            found = np.zeros(len(missed), bool)
-            sizes = np.array([len(self.items[i]) for i in item_[missed]])
-            for n in np.unique(sizes):
-                at = np.flatnonzero(sizes == n)
-                theirs = signatures(walks([seqs[missed[i]] for i in at], seed, 3 * int(n)), samples(seed, int(n), self.rule))
-                found[at] = (theirs == own[item_[missed[at]]]).any(axis=1)
-            missed = missed[~found]
+        items, missed = np.array(item, np.int64), np.arange(len(seqs))
+        sizes = np.array([len(self.items[i]) for i in item])
+        for walk in range(0, self.rule.most_walks, 4):
+            seeds = np.arange(walk, walk + 4)
+            own, found = self._signed(seeds), np.full(len(missed), 4)
+            for n in np.unique(sizes[missed]):
+                at = np.flatnonzero(sizes[missed] == n)
+                same = (signatures([seqs[i] for i in missed[at]], int(n), seeds, self.rule) == own[items[missed[at]]]).any(axis=2)
+                found[at] = np.where(same.any(axis=1), same.argmax(axis=1), 4)
+            for k in range(4):
+                if (found > k).sum() <= (1 - self.rule.recall) * len(seqs):
+                    return walk + k + 1
+            missed = missed[found == 4]
         return self.rule.most_walks
 
     def hits(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,43 +256,51 @@ def leaks(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str
     """
     spark = df.sparkSession
     schema = T.StructType([T.StructField(doc_id, df.schema[doc_id].dataType), T.StructField("item_id", T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n_item_words", "edits", "first_word", "end_word"))])
-    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("text is not null").orderBy("item_id", "text").toLocalIterator()
     out = spark.createDataFrame([], schema)
-    part: list[tuple[int, str]] = []
-
-    def one_pass(items: list[tuple[int, str]]) -> DataFrame:
-        hashed = item_words([t for _, t in items])
-        same: dict[bytes, list[int]] = {}
-        first: list[tuple[int, np.ndarray]] = []
-        for (key, _), w in zip(items, hashed, strict=True):
-            if len(w):
-                if w.tobytes() not in same:
-                    first.append((len(first), w))
-                same.setdefault(w.tobytes(), []).append(key)
-        index = Index(first, rule)
-        names = list(same.values())
+    for index, names in _passes(benchmark, item_id, item_text, rule):
         shared = spark.sparkContext.broadcast((index, names))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
             for batch in batches:
-                for own, data, offsets in _slices(batch, text):
-                    _, _, row, h = words(data, offsets, LOWER_VALUES, BETWEEN)
+                for own, row, h in _worded(batch, text):
                     found = index.search(h, row, len(own))
                     flat = [(r, key, len(index.items[i]), edits, a, b) for r, i, edits, a, b in found for key in names[i]]
                     values = np.array([x[2:] for x in flat], np.int64).reshape(-1, 4)
                     at = pa.array([x[0] for x in flat], pa.int64())
                     yield pa.RecordBatch.from_arrays([own[doc_id].take(at), pa.array([x[1] for x in flat], pa.int64()), *(pa.array(c) for c in values.T)], names=schema.names)
 
-        return df.select(doc_id, text).mapInArrow(run, schema)
-
-    for r in rows:
-        part.append((r.item_id, r.text))
-        if len(part) == rule.items_at_once:
-            out = out.union(one_pass(part))
-            part = []
-    if part:
-        out = out.union(one_pass(part))
+        out = out.union(df.select(doc_id, text).mapInArrow(run, schema))
     return out
 
 
+def without_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rule: Leak = Leak()) -> DataFrame:
+    """The rows of df, whole and unchanged, in which `leaks` finds no item. One pass over the documents for each items_at_once items; no shuffle."""
+    schema, names = df.schema, df.columns
+    for index, _ in _passes(benchmark, item_id, item_text, rule):
+        shared = df.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                for own, row, h in _worded(batch, text):
+                    clean = np.ones(len(own), bool)
+                    clean[[r for r, *_ in index.search(h, row, len(own))]] = False
+                    yield own.filter(pa.array(clean))
+
+        df = df.select(*names).mapInArrow(run, schema)
+    return df
+
+
+def _passes(benchmark: DataFrame, item_id: str, item_text: str, rule: Leak) -> Iterator[tuple[Index, list[list[int]]]]:
+    """An index of each items_at_once items, and the ids of those with each index entry's words."""
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("text is not null").orderBy("item_id", "text").toLocalIterator()
+    while part := [(r.item_id, r.text) for r in islice(rows, rule.items_at_once)]:
+        same: dict[bytes, list[int]] = {}
+        first: list[tuple[int, np.ndarray]] = []
+        for (key, _), w in zip(part, item_words([t for _, t in part]), strict=True):
+            if len(w):
+                if w.tobytes() not in same:
+                    first.append((len(first), w))
+                same.setdefault(w.tobytes(), []).append(key)
+        yield Index(first, rule), list(same.values())
