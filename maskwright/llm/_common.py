@@ -22,11 +22,17 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the folder that the cluster shares; only a session without one (tests) gets a local folder."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares, from spark.checkpoint.dir; only a session without one (tests) gets a local folder."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="maskwright-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="maskwright-"))
+    return str(sc._jsc.sc().getCheckpointDir().get())
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -36,6 +36,8 @@ class Divergence:
 
     max_class_distance: float = 0.3
     max_word_distance: float = 0.45
+    #: Short texts stray further by chance: the bound of the class distance grows by this over the root of the characters.
+    class_slack: float = 0.5
     min_chars: int = 200
     min_words: int = 50
     #: A word is common if it makes up at least one in so many of its language's words, so there are at most as many.
@@ -170,8 +172,8 @@ def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -
     return found
 
 
-def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rule: Divergence = Divergence()) -> DataFrame:
-    """Base counts, distances to the language's reference, and the verdict of every document.
+def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rule: Divergence = Divergence(), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Base counts, distances to the language's reference, and the verdict of every document; with the columns of `carry` before them.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance,
     word_distance (double, rounded to 6 places), base_failed, kept (boolean). kept is false where base_failed, or where a histogram of
@@ -215,11 +217,13 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
                     hist = np.bincount(place[row[own]] * k + at, minlength=len(mine) * k).reshape(len(mine), k)
                     word_distance[mine] = js_distance(hist, word_ref[None, :])
                 failed = base_failed(base["n_words"], base["n_repeat_words"])
-                far = (class_distance > rule.max_class_distance) & (classes.sum(axis=1) >= rule.min_chars) | (word_distance > rule.max_word_distance) & (base["n_words"] >= rule.min_words)
+                chars = classes.sum(axis=1)
+                far = (class_distance > rule.max_class_distance + rule.class_slack / np.sqrt(np.maximum(chars, 1))) & (chars >= rule.min_chars) | (word_distance > rule.max_word_distance) & (base["n_words"] >= rule.min_words)
                 yield pa.RecordBatch.from_arrays(
-                    [part[doc_id], *(pa.array(base[k], pa.int64()) for k, _ in BASE), pa.array(class_distance.round(6)), pa.array(word_distance.round(6)), pa.array(failed), pa.array(~failed & ~far)],
-                    names=[doc_id, *(k for k, _ in BASE), "class_distance", "word_distance", "base_failed", "kept"],
+                    [*(part[c] for c in before), *(pa.array(base[k], pa.int64()) for k, _ in BASE), pa.array(class_distance.round(6)), pa.array(word_distance.round(6)), pa.array(failed), pa.array(~failed & ~far)],
+                    names=[*before, *(k for k, _ in BASE), "class_distance", "word_distance", "base_failed", "kept"],
                 )
 
-    schema = T.StructType([df.schema[doc_id], *(T.StructField(k, t) for k, t in BASE), T.StructField("class_distance", T.DoubleType()), T.StructField("word_distance", T.DoubleType()), T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])
-    return df.select(doc_id, text, lang).mapInArrow(judge, schema)
+    before = list(dict.fromkeys([*carry, doc_id])) if carry else [doc_id]
+    schema = T.StructType([*(df.schema[c] for c in before), *(T.StructField(k, t) for k, t in BASE), T.StructField("class_distance", T.DoubleType()), T.StructField("word_distance", T.DoubleType()), T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])
+    return df.select(*dict.fromkeys([*before, text, lang])).mapInArrow(judge, schema)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import minhash, packing, quality, sharding, substring, suffix
+from . import classify, decontaminate, fixity, minhash, packing, quality, sharding, sitetree, substring, suffix
 from ._common import table
 
 
@@ -17,6 +17,36 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: Pages of one WARC file in the fixity query.
+PAGES_PER_FILE = 512
+
+
+def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of one of many WARC files, and a second replica of them with faults: all pages of both are hashed and
+    compared. By the crc32 of its id, a record of the replica has a byte changed (remainder 3 of 64), is cut short (7), is lost (11) or is followed by a stray byte (13)."""
+    pages = table(spark, sf_dir, "pages")
+    record = fixity.warc_record(F.col("url"), F.col("html"))
+    fault = F.coalesce(F.crc32(F.col("page_id").cast("string").cast("binary")) % 64, F.lit(0))
+    changed = F.concat(F.expr("substring(r, 1, octet_length(r) - 5)"), F.lit(bytearray(b"~")), F.lit(bytearray(b"\r\n\r\n")))
+    cut = F.expr("substring(r, 1, octet_length(r) - 5)")
+    hashed = pages.select("page_id", "url", record.alias("r"), fault.alias("fault")).select(
+        "page_id",
+        "fault",
+        F.octet_length("r").cast("long").alias("length"),
+        F.sha2("r", 256).alias("digest"),
+        F.when(F.col("fault") == 3, F.sha2(changed, 256)).when(F.col("fault") == 7, F.sha2(cut, 256)).otherwise(F.sha2("r", 256)).alias("b_digest"),
+    )
+    file = F.format_string("pages-%08d.warc", F.coalesce(F.floor(F.col("page_id") / PAGES_PER_FILE), F.lit(-1)).cast("long"))
+    before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    placed = hashed.withColumn("file", file).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    a = placed.select("file", "offset", "length", "digest")
+    length: Column = F.when(F.col("fault") == 7, F.col("length") - 5).otherwise(F.col("length"))
+    here = F.struct(F.col("offset"), length.alias("length"), F.col("b_digest").alias("digest"))
+    stray = F.struct((F.col("offset") + F.col("length") - 1).alias("offset"), F.lit(1).cast("long").alias("length"), F.sha2(F.lit("\n"), 256).alias("digest"))
+    b = placed.filter("fault <> 11").select("file", F.explode(F.when(F.col("fault") == 13, F.array(here, stray)).otherwise(F.array(here))).alias("x")).select("file", "x.*")
+    return fixity.audit(a, b)
+
+
 def op2_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.remove_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, texts=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -26,15 +56,27 @@ def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_fast_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), rule=minhash.Near(num=85, den=100, words=5))
 
 
+def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13, period=7, texts=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_cgk_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -45,10 +87,14 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_merkle_fixity": op1_merkle_fixity,
     "op2_longest_previous_factor": op2_longest_previous_factor,
     "op3_distribution_divergence": op3_distribution_divergence,
+    "op4_site_style_tree": op4_site_style_tree,
     "op5_fast_similarity_sketch": op5_fast_similarity_sketch,
+    "op6_quadratic_discriminant": op6_quadratic_discriminant,
     "op7_difference_cover": op7_difference_cover,
+    "op8_cgk_embedding": op8_cgk_embedding,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
 }

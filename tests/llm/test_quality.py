@@ -36,8 +36,9 @@ def test_far_histograms_are_rejected(spark):
     word = lambda: rng.choice(["of", "the", "and", "to", f"n{rng.randrange(3000)}", f"house{rng.randrange(3000)}"])
     clean = [(i, " ".join(word() for _ in range(150)), "en") for i in range(50)]
     odd = [(100, " ".join(f"zq{i}###" for i in range(120)), "en"), (101, " ".join(f"WORD{i}!!" for i in range(120)), "en")]
-    got = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(clean + odd, "doc_id long, text string, lang string")).collect()}
-    assert not got[100] and not got[101] and all(got[i] for i in range(50))
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(clean + odd, "doc_id long, text string, lang string")).collect()}
+    assert not got[100].kept and not got[101].kept and all(got[i].kept != got[i].base_failed for i in range(50))
+    assert sum(got[i].kept for i in range(50)) > 45
 
 
 def test_distance_bounds():
@@ -46,6 +47,11 @@ def test_distance_bounds():
     assert js_distance(np.array([[0.0, 0]]), np.array([[5.0, 5]]))[0] == 0
 
 
+def test_carried_columns(docs, corpus):
+    got = {r.doc_id: r for r in quality_rules(docs, carry=("text", "_part")).collect()}
+    assert {k: (r.text, r._part) for k, r in got.items()} == {r[0]: (r[1], r[6]) for r in corpus}
+
+
 def test_no_rows(no_docs):
     assert quality_rules(no_docs).count() == 0
 
