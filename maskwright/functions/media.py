@@ -1,0 +1,166 @@
+"""Bytes of images, sound and archives, as Arrow-batched functions of the standard library."""
+
+from __future__ import annotations
+
+import io
+import struct
+import zipfile
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import patterns as P
+
+ENTRIES = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())]))
+#: Chunks of PNG, and segments of JPEG, that carry texts and camera data.
+PNG_METADATA = (b"tEXt", b"iTXt", b"zTXt", b"eXIf")
+JPEG_METADATA = (0xE1, 0xED)
+
+
+def png_parts(data: bytes):
+    """Type and whole bytes of each chunk up to the end chunk."""
+    at = 8
+    while at + 8 <= len(data):
+        (size,) = struct.unpack_from(">I", data, at)
+        kind = data[at + 4 : at + 8]
+        yield kind, data[at : at + 12 + size]
+        if kind == b"IEND":
+            return
+        at += 12 + size
+
+
+def jpeg_parts(data: bytes):
+    """Marker and bytes of each segment; what follows the start of the scan is one."""
+    at = 2
+    while at + 4 <= len(data):
+        marker = data[at + 1]
+        if data[at] != 0xFF or marker == 0xDA:
+            yield None, data[at:]
+            return
+        (size,) = struct.unpack_from(">H", data, at + 2)
+        yield marker, data[at : at + 2 + size]
+        at += 2 + size
+
+
+def without_metadata(data: bytes | None) -> bytes | None:
+    """An image without its metadata; anything else, and an image without metadata, as it was."""
+    if data is None:
+        return None
+    if data.startswith(b"\x89PNG\r\n\x1a\n"):
+        parts = list(png_parts(data))
+        return data[:8] + b"".join(x for kind, x in parts if kind not in PNG_METADATA) if any(kind in PNG_METADATA for kind, _ in parts) else data
+    if data.startswith(b"\xff\xd8"):
+        parts = list(jpeg_parts(data))
+        return data[:2] + b"".join(x for kind, x in parts if kind not in JPEG_METADATA) if any(kind in JPEG_METADATA for kind, _ in parts) else data
+    return data
+
+
+@F.pandas_udf(T.BinaryType())
+def strip_image_metadata(content: pd.Series) -> pd.Series:
+    return content.map(without_metadata)
+
+
+@F.pandas_udf(ENTRIES)
+def zip_entries(content: pd.Series) -> pd.Series:
+    """Entries of an archive in their order; null for what is no archive."""
+
+    def one(data: bytes | None):
+        try:
+            with zipfile.ZipFile(io.BytesIO(data)) as z:
+                return [{"name": i.filename, "content": z.read(i)} for i in z.infolist() if not i.is_dir()]
+        except (zipfile.BadZipFile, TypeError):
+            return None
+
+    return content.map(one)
+
+
+@F.pandas_udf(T.BinaryType())
+def zip_of(entries: pd.Series) -> pd.Series:
+    """An archive of array<struct<name, content>>, deflated, in the order given; equal entries give equal bytes."""
+
+    def one(rows) -> bytes | None:
+        if rows is None:
+            return None
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for r in rows:
+                info = zipfile.ZipInfo(r["name"], (1980, 1, 1, 0, 0, 0))
+                info.compress_type = zipfile.ZIP_DEFLATED
+                z.writestr(info, r["content"])
+        return out.getvalue()
+
+    return entries.map(one)
+
+
+def wav_samples(data: bytes | None) -> tuple[int, np.ndarray] | None:
+    """Sample rate and samples of 16-bit mono sound, else None."""
+    if not data or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+        return None
+    at, rate = 12, None
+    while at + 8 <= len(data):
+        kind, (size,) = data[at : at + 4], struct.unpack_from("<I", data, at + 4)
+        body = data[at + 8 : at + 8 + size]
+        if kind == b"fmt ":
+            form, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", body)
+            if (form, channels, bits) != (1, 1, 16):
+                return None
+        elif kind == b"data" and rate:
+            return rate, np.frombuffer(body[: len(body) // 2 * 2], "<i2")
+        at += 8 + size + size % 2
+    return None
+
+
+def wav_of(rate: int, samples: np.ndarray) -> bytes:
+    body = samples.astype("<i2").tobytes()
+    head = struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(body), b"WAVE", b"fmt ", 16, 1, 1, rate, rate * 2, 2, 16, b"data", len(body))
+    return head + body
+
+
+def frame_db(x: np.ndarray) -> float:
+    """Level of a frame; -99 for an empty one."""
+    return 20 * float(np.log10(np.sqrt(np.mean(x.astype(float) ** 2)) / 32768 + 1e-12)) if len(x) else -99.0
+
+
+def _edge(samples: np.ndarray, at: int, limit: int, step: int) -> int:
+    """Moves by whole frames until enough of them in a row are quiet, or the limit is near; the last quiet frame isn't taken."""
+    quiet, width = 0, abs(step)
+    while at + step > limit if step < 0 else at + step < limit:
+        frame = samples[at - width : at] if step < 0 else samples[at : at + width]
+        quiet = quiet + 1 if frame_db(frame) < P.QUIET_DB else 0
+        if quiet >= P.QUIET_FRAMES:
+            break
+        at += step
+    return at
+
+
+def snapped(samples: np.ndarray, rate: int, a: float, b: float, lo: float = 0.0, hi: float = 1e9) -> tuple[float, float]:
+    """A span grown on both sides to the next silence, within the neighbouring words and MOST_GROWTH seconds."""
+    width = max(1, int(P.FRAME_SECONDS * rate))
+    first = _edge(samples, int(a * rate), int(max(0, a - P.MOST_GROWTH, lo) * rate), -width)
+    last = _edge(samples, int(b * rate), int(min(len(samples), (b + P.MOST_GROWTH) * rate, hi * rate)), width)
+    return max(0.0, first / rate), min(len(samples) / rate, last / rate)
+
+
+def beeped(samples: np.ndarray, rate: int, spans: list[tuple[float, float]]) -> np.ndarray:
+    """Samples with a tone in place of each span, faded in and out."""
+    out = samples.copy()
+    for a, b in spans:
+        i, j = max(0, int(a * rate)), min(len(out), int(b * rate))
+        if j <= i:
+            continue
+        t = np.arange(j - i)
+        ramp = max(1, int(P.BEEP_FADE * rate))
+        fade = np.minimum(1.0, np.minimum(t, j - i - 1 - t) / ramp)
+        out[i:j] = np.clip(P.BEEP_LEVEL * 32767 * fade * np.sin(2 * np.pi * P.BEEP_HERTZ * t / rate), -32768, 32767).astype(np.int16)
+    return out
+
+
+def goertzel(samples: np.ndarray, rate: int, hertz: float = P.BEEP_HERTZ) -> float:
+    """Share of a frame's power that lies at one frequency: near 1 for a pure tone."""
+    x = samples.astype(float)
+    if not len(x) or not (x**2).sum():
+        return 0.0
+    wave = np.exp(-2j * np.pi * hertz * np.arange(len(x)) / rate)
+    return float(min(1.0, 2 * abs((x * wave).sum()) ** 2 / (len(x) * (x**2).sum())))
