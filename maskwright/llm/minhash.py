@@ -132,25 +132,26 @@ def sketched(df: DataFrame, rule: Near) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the least node of each; by alternating
     large-star and small-star steps, each of which is a sort of the edges by one end, with a checkpoint after each round."""
+    pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
+    each = lambda e, *pairs: e.select(F.inline(F.array(*(pair(*p) for p in pairs))))
     e = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
     for _ in range(most_rounds):
+        if _is_flat(e):
+            return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
         # large star: each node links its larger neighbours to its least neighbour (or itself)
-        both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = each(e, ("a", "b"), ("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        e = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        e = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: each node links its smaller neighbours and itself to its least neighbour
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
-        e = e.join(least, "a")
-        e = e.select(F.col("b").alias("a"), F.col("m").alias("b")).union(e.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        e = cut_lineage(e)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
-        if now == state:
-            break
-        state = now
-    else:
-        raise RuntimeError(f"no fixed point after {most_rounds} rounds")
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        e = e.join(e.groupBy("a").agg(F.min("b").alias("m")), "a")
+        e = cut_lineage(each(e, ("b", "m"), ("a", "m")).filter("a <> b").distinct())
+    raise RuntimeError(f"no fixed point after {most_rounds} rounds")
+
+
+def _is_flat(e: DataFrame) -> bool:
+    """Whether every node has one edge to its root, and no root has one: then the edges are the components."""
+    ends = e.select(F.inline(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("root")), F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("root")))))
+    return ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("root").alias("root")).filter("up > 1 or up > 0 and root > 0").isEmpty()
 
 
 class Forest:
@@ -275,8 +276,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     edges = cut_lineage(entries.join(least, "band").select(F.col("class").alias("a"), "b").filter("a <> b").distinct())
     candidate = components(edges)
     candidate = cut_lineage(candidate.union(candidate.select(F.col("component").alias("node"), "component").distinct()))
-    linked = _confirmed(docs, edges, candidate, rule, buckets)
-    joined = components(linked)
+    joined = _confirmed(docs, edges, candidate, rule, buckets)
     named = classes.select("set_a", "set_b", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
     named = named.select(F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), F.coalesce("component", "class").alias("_component"))
     out = known.select("doc_id", "n_shingles", "set_a", "set_b").join(named, (F.col("set_a") == F.col("_a")) & (F.col("set_b") == F.col("_b")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
@@ -285,7 +285,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 
 
 def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Near, buckets: int) -> DataFrame:
-    """Edges (a, b) that span the links within each candidate component.
+    """Rows (node, component) of the components of all links, which lie within the candidate components.
 
     A component of more than rule.block classes is dealt in blocks. First each block is compared in itself and with
     the component's hub, the class that most candidate edges lead to; in a group of near copies that links
@@ -329,9 +329,9 @@ def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Ne
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1).cast("array<long>")
     first = members.join(hubs, "component", "left").select("node", "component", F.when(F.col("node") == F.col("hub"), every("blocks")).otherwise(F.array(F.col("block").cast("long"))).alias("groups"))
     found = cut_lineage(compared(first))
-    if split.isEmpty():
-        return found
     trees = components(found)
+    if split.isEmpty():
+        return trees
     tree = split.join(trees.withColumnRenamed("component", "tree"), "node", "left").withColumn("tree", F.coalesce("tree", "node"))
     home = tree.join(hubs.select("hub"), F.col("node") == F.col("hub")).select(F.col("component").alias("c"), F.col("tree").alias("home"))
     placed = tree.join(home, F.col("component") == F.col("c")).withColumn("stray", F.col("tree") != F.col("home"))
@@ -341,4 +341,7 @@ def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Ne
     as_member = F.expr("transform(sequence(0, stray_blocks - 1), s2 -> cast(s2 as bigint) * blocks + block)")
     as_stray = F.expr("transform(sequence(0, blocks - 1), j -> s * blocks + j)")
     second = placed.select("node", "component", F.when(F.col("stray"), F.array_union(as_member, as_stray)).otherwise(as_member).alias("groups"))
-    return cut_lineage(found.union(compared(second)))
+    more = cut_lineage(compared(second))
+    if more.isEmpty():
+        return trees
+    return components(more.union(trees.select(F.col("node").alias("a"), F.col("component").alias("b"))))
