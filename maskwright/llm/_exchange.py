@@ -8,7 +8,7 @@ bucket and answers; the answers of a document are then merged to one row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -151,9 +151,20 @@ def by_document(found: DataFrame) -> DataFrame:
     return found.groupBy("bucket").applyInArrow(merge, "doc long, p binary, t binary")
 
 
-def marked(docs: DataFrame, found: DataFrame, doc_id: str, how: str) -> DataFrame:
-    """Documents with their answers in columns p and t. The documents are shuffled by doc_id, in the same way at each call."""
-    return docs.join(found.hint("shuffle_hash"), F.col(doc_id) == F.col("doc"), how).drop("doc")
+def marked(docs: DataFrame, found: DataFrame, doc_id: str) -> DataFrame:
+    """Documents with their answers in columns p and t, null for those without any.
+
+    The join is a left one, as an inner one would put a filter on the documents: so their shuffle by doc_id is the same at each call, and Spark reuses it.
+    """
+    return docs.join(found.hint("shuffle_hash"), F.col(doc_id) == F.col("doc"), "left").drop("doc")
+
+
+def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of marked documents that have an answer."""
+    for batch in batches:
+        own = batch.filter(batch["p"].is_valid())
+        if len(own):
+            yield own
 
 
 def positions(value: bytes | None) -> np.ndarray:

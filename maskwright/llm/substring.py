@@ -92,7 +92,7 @@ def _window_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: i
             sent, found = e[~later], e[later]
             yield from filter(None, (X.packed(0, (sent.g % U64(buckets)).astype(np.int32), X.Entries(sent.h, sent.d, sent.p, sent.t)), X.packed(X.ANSWER, X.doc_bucket(found.d, buckets), X.answers(found.d, found.p, found.t))))
 
-        for batch in batches:
+        for batch in X.answered(batches):
             for part, data, offsets in _slices(batch, text):
                 _, _, row, h = words(data, offsets)
                 ids, _ = _ids(part, doc_id)
@@ -134,7 +134,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     buckets = partitions(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     anchors = X.by_document(X.looked_up(_anchor_rows(docs, "doc_id", "text", window, period, buckets), _settle_anchors, buckets, {0: 4}))
-    found = X.looked_up(_window_rows(X.marked(docs, anchors, "doc_id", "inner"), "doc_id", "text", window, period, buckets), _settle_windows, buckets, {})
+    found = X.looked_up(_window_rows(X.marked(docs, anchors, "doc_id"), "doc_id", "text", window, period, buckets), _settle_windows, buckets, {})
     added = {"n_words": T.LongType(), "n_removed": T.LongType(), "spans": T._parse_datatype_string("array<array<long>>"), "kept_sha256": T.StringType()}
     if texts:
         added["kept_text"] = T.StringType()

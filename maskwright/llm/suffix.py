@@ -255,7 +255,7 @@ def _string_rows(docs: DataFrame, length: int, repeated: int, buckets: int) -> D
                 out = X.Entries.joined(found)
                 yield from filter(None, [X.packed(X.ANSWER, X.doc_bucket(out.d, buckets), out)])
 
-        for batch in batches:
+        for batch in X.answered(batches):
             data, offsets = text_buffer(batch["text"])
             ids, _ = _ids(batch, "doc_id")
             for i in range(len(batch)):
@@ -302,7 +302,7 @@ def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "
         at = np.flatnonzero(dup & (e.t == 0))
         return X.answers(e.d[at], e.p[at], np.full(len(at), 1 << LENGTH_SHIFT, np.uint16))
 
-    found = X.looked_up(_string_rows(X.marked(docs, first, "doc_id", "inner"), length, repeated, buckets), settle, buckets, {})
+    found = X.looked_up(_string_rows(X.marked(docs, first, "doc_id"), length, repeated, buckets), settle, buckets, {})
     starts = X.by_document(found).select(F.col("doc").alias("_doc"), F.col("p").alias("_p"), F.col("t").alias("_t"))
     added = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "spans": T.ArrayType(T.ArrayType(T.LongType())), "kept_sha256": T.StringType()}
     if texts:
