@@ -99,4 +99,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_shards": op10_byte_shards,
 }
 
-ORACLES: dict[str, str] = {}
+#: The pages table's template, where the article's markup is within reach of regular expressions; other markup is tested by tests/llm.
+_OP4 = r"""
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(
+    regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'),
+    lambda b: trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))),
+    lambda b: b <> ''), chr(10)), '') AS text
+  FROM pages)
+"""
+ORACLES: dict[str, str] = {"op4_site_style_tree": _OP4}
