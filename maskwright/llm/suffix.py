@@ -192,7 +192,8 @@ def _segment_rows(docs: DataFrame, length: int, k: int, buckets: int) -> DataFra
             mixed = (np.bincount(group, weights=differs) > 0)[group]
             tag = (np.where(n > 1, ANCHOR, 0) | np.where(mixed, MIXED, 0)).astype(np.uint16)
             found.append(X.answers(x.d, x.p, tag | s)[np.flatnonzero(tag)])
-            sent = X.Entries(x.h, x.d, x.p, s, x.g)[np.flatnonzero(lead)]
+            # one entry of an anchor says for all whether they differ here
+            sent = X.Entries(x.h, x.d, x.p, s | np.where(mixed, MIXED, 0).astype(np.uint16), x.g)[np.flatnonzero(lead)]
             yield from filter(None, [X.packed(0, _bucket(sent.h, buckets), sent)])
             # by text
             x = X.Entries(e.g, e.d, e.p, size)
@@ -222,7 +223,7 @@ def _settle_segments(own: dict[int, X.Entries]) -> X.Entries:
         order, first, n = X.grouped(e.h, e.g)
         e = e[order]
         lead = first == np.arange(len(order))
-        differs = np.r_[False, e.g[1:] != e.g[:-1]] & ~lead
+        differs = np.r_[False, e.g[1:] != e.g[:-1]] & ~lead | (e.t & MIXED > 0)
         mixed = (np.bincount(np.cumsum(lead) - 1, weights=differs) > 0)[np.cumsum(lead) - 1]
         tag = (np.where(n > 1, ANCHOR, 0) | np.where(mixed, MIXED, 0)).astype(np.uint16)
         found.append(X.answers(e.d, e.p, tag | e.t)[np.flatnonzero(tag)])

@@ -54,6 +54,25 @@ def test_short_strings_with_many_meetings(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == w, key
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_segments_that_differ_in_one_task_only(spark, keep_first):
+    """The text of document 5 in one partition; the same and a near copy of it in the other, whose edges hash to either side."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    left, right = [], []
+    for i in range(0, 160, 20):
+        whole = text(900)
+        near = whole[:450] + text(450) if i % 40 else text(450) + whole[450:]
+        left.append((i + 5, whole))
+        right += [(i + 10, whole), (i + 11, near)]
+    left += [(1000 + i, None) for i in range(len(right) - len(left))]  # halves of equal size
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(left + right, 2), "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix.remove_repeated_strings(frame, keep_first=keep_first).collect()}
+    for key, w in brute(left + right, 400, keep_first).items():
+        r = got[key]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == w, key
+
+
 def test_lpf_array():
     rng = random.Random(4)
     for _ in range(40):
