@@ -8,8 +8,9 @@ stretch of a document is within floor(n / 5) edits of it, that is at a similarit
    hit go on. This loses nothing.
 2. CGK. A random walk reads a window and writes it, repeating or going on at each step as a shared random function of the step and the word
    decides; edits then mostly cost a few Hamming differences. The walk of a window is sampled at a few steps, many times with other
-   samples and walks, and a window goes on where it equals an item in one of them. The repetitions are chosen on edited copies of the items,
-   until the share that is found reaches the target.
+   samples and walks, and a window goes on where it equals an item in one of them. The repetitions are chosen for items of about one length, on copies of
+   them with insertions, with replacements and with deletions apart, until the share that is found reaches the target for each kind. Where it
+   doesn't, or takes so many walks that the distance itself is cheaper, every window goes on.
 3. Exact verification by dynamic programming with free ends in the document.
 """
 
@@ -45,8 +46,11 @@ class Leak:
     #: Share of edited copies of the items that the samples must find, and walks at most.
     recall: float = 0.9995
     most_walks: int = 256
-    #: Edited copies that the number of walks is chosen on.
+    #: Edited copies of each kind that the number of walks is chosen on, for items whose lengths agree but for `band` words.
     trials: int = 1500
+    band: int = 8
+    #: More walks than these cost more than the distance.
+    cheap_walks: int = 8
     #: Items that every task holds; more are searched in several passes over the documents.
     items_at_once: int = 4096
 
@@ -144,57 +148,76 @@ class Index:
             found.sort()
             self.runs[k] = tuple(np.array([x[c] for x in found], U64 if c == 0 else np.int64) for c in range(3))
         self.by_size: dict[int, np.ndarray] = {n: np.array([i for i, w in enumerate(self.items) if len(w) == n]) for n in {len(w) for w in self.items}}
-        self.walks = self._walks_for_recall()
-        self.signed = self._signed(np.arange(self.walks))
+        #: Walks of each item; 0 where all its windows are verified.
+        self.walks = np.zeros(len(self.items), np.int64)
+        bands: dict[int, list[int]] = {}
+        for i, w in enumerate(self.items):
+            bands.setdefault(len(w) // rule.band, []).append(i)
+        for own in bands.values():
+            self.walks[own] = self._walks_for_recall(np.array(own))
+        self.signed = self._signed(np.arange(self.walks.max(initial=0)))
 
-    def _signed(self, seeds: np.ndarray) -> np.ndarray:
-        """Signatures of the items: items x seeds x samples."""
+    def _signed(self, seeds: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
+        """Signatures of the items: items x seeds x samples; of those in `which` alone, if given."""
         out = np.zeros((len(self.items), len(seeds), self.rule.samples), U64)
         for n, own in self.by_size.items():
-            out[own] = signatures([self.items[i] for i in own], n, seeds, self.rule)
+            own = own if which is None else np.intersect1d(own, which)
+            if len(own) and len(seeds):
+                out[own] = signatures([self.items[i] for i in own], n, seeds, self.rule)
         return out
 
     def alike(self, seqs: list[np.ndarray], item: np.ndarray) -> np.ndarray:
-        """Whether each sequence equals its item in some sample of some walk."""
-        found = np.zeros(len(seqs), bool)
+        """Whether each sequence equals its item in some sample of some walk, or the item has no walks."""
+        found = self.walks[item] == 0
         sizes = np.array([len(self.items[i]) for i in item], np.int64)
-        for seeds in (np.arange(1), np.arange(1, self.walks)):  # the first walk finds all exact copies
-            for n in np.unique(sizes[~found]) if len(seeds) else ():
+        for first in (True, False):  # the first walk finds all exact copies
+            for n in np.unique(sizes[~found]):
                 at = np.flatnonzero(~found & (sizes == n))
-                theirs = signatures([seqs[i] for i in at], int(n), seeds, self.rule)
-                found[at] = (theirs == self.signed[item[at]][:, seeds]).any(axis=(1, 2))
+                seeds = np.arange(1) if first else np.arange(1, self.walks[item[at[0]]])
+                if len(seeds):
+                    theirs = signatures([seqs[i] for i in at], int(n), seeds, self.rule)
+                    found[at] = (theirs == self.signed[item[at]][:, seeds]).any(axis=(1, 2))
         return found
 
-    def _walks_for_recall(self) -> int:
-        """The number of walks at which edited copies of the items, with as many edits as are allowed, are found."""
-        rng = np.random.default_rng(1)
+    def _walks_for_recall(self, which: np.ndarray) -> int:
+        """The number of walks at which copies of these items, with as many edits of one kind as are allowed, are found; 0 if it isn't reached."""
+        most = 0
+        for kind in (2, 0, 1):  # removals are missed the most
+            if not (needed := self._walks_for_kind(which, kind)):
+                return 0
+            most = max(most, needed)
+        return most
+
+    def _walks_for_kind(self, which: np.ndarray, kind: int) -> int:
+        """The same for words inserted (0), replaced (1) or removed (2)."""
+        rng = np.random.default_rng([1, kind])
         seqs, item = [], []
-        pick = rng.permutation(len(self.items))[: self.rule.trials]
+        pick = rng.permutation(which)[: self.rule.trials]
         for i in pick:
             for _ in range(-(-self.rule.trials // len(pick))):
                 w = self.items[i].tolist()
                 for _ in range(self.most[i]):
-                    at, what = int(rng.integers(0, max(1, len(w)))), int(rng.integers(0, 3))
-                    new = int(rng.integers(1, 2**63))
-                    w[at : at + (what > 0)] = [] if what == 2 and len(w) > 1 else [new]
+                    at, new = int(rng.integers(0, max(1, len(w)))), int(rng.integers(1, 2**63))
+                    w[at : at + (kind > 0)] = [] if kind == 2 and len(w) > 1 else [new]
                 # windows are as long as the item
                 w = (w + [int(x) for x in rng.integers(1, 2**63, self.most[i])])[: len(self.items[i])]
                 seqs.append(np.array(w, U64))
                 item.append(i)
         items, missed = np.array(item, np.int64), np.arange(len(seqs))
         sizes = np.array([len(self.items[i]) for i in item])
-        for walk in range(0, self.rule.most_walks, 4):
-            seeds = np.arange(walk, walk + 4)
-            own, found = self._signed(seeds), np.full(len(missed), 4)
+        for walk in range(min(self.rule.most_walks, self.rule.cheap_walks)):
+            seeds = np.array([walk])
+            own, found = self._signed(seeds, which), np.zeros(len(missed), bool)
             for n in np.unique(sizes[missed]):
                 at = np.flatnonzero(sizes[missed] == n)
-                same = (signatures([seqs[i] for i in missed[at]], int(n), seeds, self.rule) == own[items[missed[at]]]).any(axis=2)
-                found[at] = np.where(same.any(axis=1), same.argmax(axis=1), 4)
-            for k in range(4):
-                if (found > k).sum() <= (1 - self.rule.recall) * len(seqs):
-                    return walk + k + 1
-            missed = missed[found == 4]
-        return self.rule.most_walks
+                found[at] = (signatures([seqs[i] for i in missed[at]], int(n), seeds, self.rule) == own[items[missed[at]]]).any(axis=(1, 2))
+            missed = missed[~found]
+            if len(missed) <= (1 - self.rule.recall) * len(seqs):
+                return walk + 1
+            # the share that is left shrinks less and less with each walk
+            if (len(missed) / len(seqs)) ** (self.rule.cheap_walks / (walk + 1)) > 4 * (1 - self.rule.recall):
+                return 0
+        return 0
 
     def hits(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, item and window start of each hit of a run, distinct."""

@@ -86,6 +86,25 @@ def test_recall_on_copies_with_all_allowed_edits():
     assert found >= 0.98 * n
 
 
+def test_recall_by_length_and_kind_of_edit():
+    rng = np.random.default_rng(4)
+    new = lambda n: rng.integers(1, 2**63, n, dtype=np.uint64)
+    items = [(i, new(n)) for i, n in enumerate([40] * 8 + [120] * 4 + [250] * 2)]
+    index = Index(items, Leak())
+    for kind in ("insert", "replace", "remove"):
+        for i, w in items:
+            for _ in range(6):
+                x, k = w.copy(), len(w) // 5
+                if kind == "insert":
+                    x = np.insert(x, np.sort(rng.integers(0, len(x), k)), new(k))
+                elif kind == "replace":
+                    x[rng.choice(len(x), k, replace=False)] = new(k)
+                else:
+                    x = np.delete(x, rng.choice(len(x), k, replace=False))
+                h = np.r_[new(30), x, new(30)]
+                assert any(m[1] == i for m in index.search(h, np.zeros(len(h), np.int64), 1)), (kind, len(w))
+
+
 def test_within():
     a = item_words(["a b c d e"])[0]
     t = item_words(["x y a b q c d e z"])[0]
