@@ -85,6 +85,12 @@ def name_rule_redact(spark, sf_dir):
     return docs.select("doc_id", F.md5(F.regexp_replace("text", redact.merged_name_pattern(_FULL, _TOKENS), "Contributor").cast("binary")).alias("redacted"))
 
 
+@query()
+def name_rule_redact_all(spark, sf_dir):
+    """The rule over all documents. Boundaries are those of bytes, as in the reference; the SQL engine's can't be held against them beyond ASCII."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.regexp_replace("text", redact.merged_name_pattern(_FULL, _TOKENS), "Contributor").cast("binary")).alias("redacted"))
+
+
 @query("SELECT source, token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT source, doc_id, lower(unnest(regexp_extract_all(text, '(?i)erth|ingan|stea'))) AS token FROM documents) GROUP BY ALL")
 def name_token_hits(spark, sf_dir):
     hits = table(spark, sf_dir, "documents").select("source", "doc_id", F.explode(detect.found(F.col("text"), "(?i)erth|ingan|stea")).alias("m"))
