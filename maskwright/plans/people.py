@@ -157,6 +157,13 @@ def b64_variants(spark, sf_dir):
     return real.select("o_orderkey", redact.base64_variant(F.col("secret"), 0).alias("variant")).filter("variant is not null")
 
 
+@query()
+def b64_variants_all(spark, sf_dir):
+    """The variants at all alignments."""
+    real = _secrets(spark, sf_dir).filter(~detect.is_false_secret(F.col("secret"), P.FALSE_SECRET_PARTS_B64))
+    return real.select("o_orderkey", F.explode(redact.base64_variants(F.col("secret"))).alias("variant"))
+
+
 @query("SELECT c_custkey, md5(replace(replace(c_name || ' JOHN-smith / acme corp', 'JOHN-smith', 'Person A'), 'acme corp', 'Company B')) AS masked FROM customer")
 def mask_map(spark, sf_dir):
     mask = redact.map_masker({"John Smith": "Person A", "Smith": "Person C", "Acme Corp": "Company B"})
