@@ -62,18 +62,21 @@ PLAIN, NOISE, ROOT = 0, 1, 2
 
 @dataclass(frozen=True)
 class SiteRule:
-    """Branches less important than `least` go, where at least `pages` pages of the host have them."""
+    """Branches less important than `least` go, where at least `pages` pages of the host have them; the bound falls to 0 for branches of fewer pages, down to one."""
 
     least: float = 0.4
     pages: int = 12
     #: What counts less and less with each further child sequence: the children's importance.
     damping: float = 0.9
-    #: Share of a page's text that the site's tree may take; where it would take more, the page is as its site and nothing goes.
-    most: float = 0.5
     #: Hosts' nodes that are broadcast at most, some 30 bytes each; more are joined by a shuffle.
     broadcast_nodes: int = 500_000
 
 
+    def bound(self, pages: int) -> float:
+        """Importance below which what so many pages have goes."""
+        return self.least * min(1.0, math.log(max(1, pages)) / math.log(self.pages))
+
+
 class Page:
     """The blocks of a page, and the elements that they stand in."""
 
@@ -245,23 +248,27 @@ class Page:
                 break
         if not blocks or not site:
             return [text for _, text in blocks]
-        gone = self._unimportant(root, site, rule)
-        left = [(node, text) for node, text in blocks if not gone[node]]
-        taken = sum(len(text) for node, text in blocks if gone[node])
-        if taken > rule.most * sum(len(text) for _, text in blocks):
-            return [text for _, text in blocks]
-        return [text for _, text in left]
-
-    def _unimportant(self, root: list[bool], site: dict[int, tuple[int, float, float, int]], rule: SiteRule) -> list[bool]:
+        gone, content = self._unimportant(root, site, rule)
+        left = [text for node, text in blocks if not gone[node]]
+        if left:
+            return left
+        best = max(content[node] for node, _ in blocks)  # the page is as its site
+        return [text for node, text in blocks if content[node] == best]
+
+    def _unimportant(self, root: list[bool], site: dict[int, tuple[int, float, float, int]], rule: SiteRule) -> tuple[list[bool], list[float]]:
+        """Whether each element's own text goes, and the importance of that text."""
         n = len(self.key)
         total, count = [0.0] * n, [0] * n
         own_text = [False] * n
         for node, _ in self.blocks:
             own_text[node] = True
-        importance = [1.0] * n
+        importance, contents, bound = [1.0] * n, [1.0] * n, [0.0] * n
+        holds = [False] * n  # a text that matters, so the branch stays, though it be mostly the site's
         for i in range(n - 1, 0, -1):
             pages, presentation, content, styles = site.get(self.key[i], (0, 1.0, 1.0, 1))
+            contents[i], bound[i] = content, rule.bound(pages)
             if own_text[i]:
+                holds[i] = holds[i] or content >= bound[i]
                 total[i] += content
                 count[i] += 1
             if count[i]:
@@ -272,14 +279,14 @@ class Page:
                 importance[i] = 0.0
             total[self.parent[i]] += importance[i]
             count[self.parent[i]] += 1
+            holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
         gone = [False] * n
         safe = [False] * n  # the article itself, and its plain elements
         for i in range(1, n):
             up = self.parent[i]
             safe[i] = root[i] and (self.kind[i] == ROOT or self.tag[i] in ("html", "body") or (safe[up] and not self.named[i] and self._within(i)))
-            pages = site.get(self.key[i], (0,))[0]
-            gone[i] = gone[up] or (not safe[i] and pages >= rule.pages and importance[i] < rule.least)
-        return gone
+            gone[i] = gone[up] or (not safe[i] and not holds[i] and importance[i] < bound[i])
+        return [g or (own_text[i] and not safe[i] and i > 0 and contents[i] < bound[i]) for i, g in enumerate(gone)], contents
 
 
 def host_of(url: Column) -> Column:
@@ -323,7 +330,7 @@ def site_nodes(pages: DataFrame, html: str, rule: SiteRule) -> DataFrame:
     )
     bounded = lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
     log_pages = F.log("pages")
-    return nodes.filter(F.col("pages") >= rule.pages).select(
+    return nodes.filter("pages > 1").select(
         "host",
         "node",
         "pages",

@@ -64,6 +64,20 @@ def test_low_importance_branches_go(spark):
         assert all(want in got[len(rows) + i] for i, (_, _, want) in enumerate(copies))
 
 
+def test_short_articles_in_long_templates_and_on_small_sites(spark):
+    rng = random.Random(7)
+    rows = []
+    for host, n in (("large.example", 40), ("small.example", 4)):
+        around = [prose(rng, 60) for _ in range(5)]
+        for i in range(n):
+            body = prose(rng, 12, 5000)
+            rows.append((f"https://{host}/{i}", f"<div class=w>{''.join(f'<div class=b{j}>{x}</div>' for j, x in enumerate(around[:3]))}<div class=k><p>{body}</p></div>{''.join(f'<div class=c{j}>{x}</div>' for j, x in enumerate(around[3:]))}</div>", body))
+    rows += [(f"https://same.example/{i}", "<div class=a>one</div><div class=b>two</div>", "one\ntwo") for i in range(20)]
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows)], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in main_texts(frame).collect()}
+    assert [got[i] for i in range(len(rows))] == [want for *_, want in rows]
+
+
 def test_nulls_ties_and_no_rows(spark):
     rows = [(1, None, "<p>a</p>"), (2, "http://x.example/", None), (2, "http://x.example/", ""), (None, "no url", "<p>b</p>"), (5, "http://x.example/", "<p>é</p>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
