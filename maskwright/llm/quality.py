@@ -42,7 +42,7 @@ class Divergence:
     min_words: int = 50
     #: A word is common if it makes up at least one in so many of its language's words, so there are at most as many.
     common_share: int = 500
-    #: Languages with less than one in so many of all words have no reference, so there are at most as many.
+    #: With more languages than this, references of those with less than one in so many of all words are joined by a shuffle; the driver holds the others', so at most as many.
     language_share: int = 1000
 
 
@@ -122,10 +122,11 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where((p.sum(axis=1) > 0) & (q.sum(axis=-1) > 0), np.sqrt(np.maximum(d, 0)), 0.0)
 
 
-def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -> dict[str, dict]:
+def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -> tuple[dict[str, dict], DataFrame | None]:
     """Histograms of each language over all its documents: characters by class, and its common words by hash.
 
-    What comes to the driver is bounded by the rule: language_share languages of common_share words each.
+    What comes to the driver is bounded by the rule: language_share languages of common_share words each. If there are more languages,
+    those of the smaller ones are a table of lang and ref.
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,19 +158,38 @@ def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -
     counted = df.select(text, F.col(lang).alias(lang)).mapInArrow(counts, "lang string, kind int, word long, n long")
     summed = cut_lineage(counted.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")).filter((F.col("kind") > 0) | (F.col("n") > 1)))
     totals = summed.filter("kind = 1").select("lang", F.col("n").alias("_all"))
-    every = totals.agg(F.sum("_all")).first()[0] or 0
-    large = totals.filter((F.col("_all") > 0) & (F.col("_all") * rule.language_share >= every))
-    kept = summed.join(F.broadcast(large), "lang").filter((F.col("kind") > 0) | (F.col("n") * rule.common_share >= F.col("_all")))
+    every = totals.agg(F.sum("_all").alias("n"), F.count(F.lit(1)).alias("langs")).first()
+    own = totals.filter("_all > 0")
+    common = (F.col("kind") > 0) | (F.col("n") * rule.common_share >= F.col("_all"))
+    rest = None
+    if every.langs > rule.language_share:
+        large = F.col("_all") * rule.language_share >= every.n
+        small = summed.join(own.filter(~large), "lang").filter(common)
+        rest = small.groupBy("lang").agg(F.collect_list(F.struct("kind", "word", "n")).alias("ref"))
+        own = own.filter(large)
+    kept = summed.join(F.broadcast(own), "lang").filter(common)
     found: dict[str, dict] = {}
     for r in kept.select("lang", "kind", "word", "n").collect():
-        ref = found.setdefault(r.lang, {"words": {}, "classes": [0] * len(CLASSES), "all": 0})
-        if r.kind == 0:
-            ref["words"][r.word] = r.n
-        elif r.kind == 1:
-            ref["all"] = r.n
-        else:
-            ref["classes"][r.kind - 2] = r.n
-    return found
+        _put(found, r.lang, r.kind, r.word, r.n)
+    return found, rest
+
+
+def _put(found: dict[str, dict], lang: str, kind: int, word: int, n: int) -> None:
+    ref = found.setdefault(lang, {"words": {}, "classes": [0] * len(CLASSES), "all": 0})
+    if kind == 0:
+        ref["words"][word] = n
+    elif kind == 1:
+        ref["all"] = n
+    else:
+        ref["classes"][kind - 2] = n
+
+
+def _arrays(found: dict[str, dict]) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sorted common words of each language, their counts with that of all others, and the classes."""
+    return {
+        name: (np.array(sorted(x["words"]), np.int64), np.array([x["words"][w] for w in sorted(x["words"])] + [max(0, x["all"] - sum(x["words"].values()))], float), np.array(x["classes"], float))
+        for name, x in found.items()
+    }
 
 
 def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rule: Divergence = Divergence(), carry: tuple[str, ...] = ()) -> DataFrame:
@@ -178,22 +198,16 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance,
     word_distance (double, rounded to 6 places), base_failed, kept (boolean). kept is false where base_failed, or where a histogram of
     enough characters or words is too far from its language's. A null text has no words, so base_failed
-    holds; a null language is a language of its own; a language without a reference isn't judged by
-    distance. Rows are judged each by itself, so repeated rows and ties agree; an empty table gives
+    holds; a null language is a language of its own; every language with words has a reference, however small its share. Rows are judged each by itself, so repeated rows and ties agree; an empty table gives
     no rows; other columns are ignored.
     """
     spark = df.sparkSession
-    found = language_references(df, text, lang, rule)
-    shared = spark.sparkContext.broadcast(
-        {
-            name: (np.array(sorted(x["words"]), np.int64), np.array([x["words"][w] for w in sorted(x["words"])] + [max(0, x["all"] - sum(x["words"].values()))], float), np.array(x["classes"], float))
-            for name, x in found.items()
-        }
-    )
+    found, rest = language_references(df, text, lang, rule)
+    shared = spark.sparkContext.broadcast(_arrays(found))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        refs = shared.value
         for batch in batches:
+            refs = shared.value if "_ref" not in batch.schema.names else told(batch)
             for part, data, offsets in _slices(batch, text):
                 base, (_, _, row, h) = _base_counts(data, offsets)
                 classes = _class_counts(data, offsets)
@@ -224,6 +238,21 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
                     names=[*before, *(k for k, _ in BASE), "class_distance", "word_distance", "base_failed", "kept"],
                 )
 
+    def told(batch: pa.RecordBatch) -> dict:
+        """References that came with the rows."""
+        own: dict[str, dict] = {}
+        for i, name in enumerate(batch[lang].fill_null("").to_pylist()):
+            if name not in own and batch["_ref"][i].is_valid:
+                for x in batch["_ref"][i].as_py():
+                    _put(own, name, x["kind"], x["word"], x["n"])
+        return _arrays(own)
+
     before = list(dict.fromkeys([*carry, doc_id])) if carry else [doc_id]
     schema = T.StructType([*(df.schema[c] for c in before), *(T.StructField(k, t) for k, t in BASE), T.StructField("class_distance", T.DoubleType()), T.StructField("word_distance", T.DoubleType()), T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])
-    return df.select(*dict.fromkeys([*before, text, lang])).mapInArrow(judge, schema)
+    rows = df.select(*dict.fromkeys([*before, text, lang]))
+    if rest is None:
+        return rows.mapInArrow(judge, schema)
+    name = F.coalesce(F.col(lang), F.lit(""))
+    small = rows.filter(~name.isin(list(found))).withColumn("_name", name)
+    small = small.join(rest.select(F.col("lang").alias("_lang"), F.col("ref").alias("_ref")).hint("shuffle_hash"), F.col("_name") == F.col("_lang"), "left").drop("_name", "_lang")
+    return rows.filter(name.isin(list(found))).mapInArrow(judge, schema).union(small.mapInArrow(judge, schema))

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from maskwright.llm.quality import js_distance, quality_rules
+from maskwright.llm.quality import Divergence, js_distance, quality_rules
 
 
 def brute(text):
@@ -41,6 +41,19 @@ def test_far_histograms_are_rejected(spark):
     assert sum(got[i].kept for i in range(50)) > 45
 
 
+def test_small_languages_are_judged(spark):
+    """Junk in a language of less than 1 in 1000 words, by references that are sent to all or joined."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"a{rng.randrange(3000)}" if j % 2 else "the" for j in range(8000)), "en") for i in range(300)]
+    rows += [(1000 + i, " ".join(f"b{rng.randrange(3000)}" if j % 2 else ["ok", "es", "az"][j // 2 % 3] for j in range(100)), "xx") for i in range(20)]
+    rows += [(2000, " ".join(f"{i}###%%%$$" for i in range(60)), "xx"), (2001, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    one, many = ({r.doc_id: r for r in quality_rules(frame, rule=rule).collect()} for rule in (Divergence(), Divergence(language_share=1)))
+    assert one == many and len(one) == len(rows)
+    assert not one[2000].base_failed and not one[2000].kept and one[2000].class_distance > 0.3
+    assert all(one[1000 + i].kept for i in range(20))
+
+
 def test_distance_bounds():
     assert js_distance(np.array([[1.0, 0]]), np.array([[0, 1.0]]))[0] == 1
     assert js_distance(np.array([[2.0, 2]]), np.array([[5.0, 5]]))[0] == 0
