@@ -123,7 +123,7 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
 
 
 def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -> tuple[dict[str, dict], DataFrame | None]:
-    """Histograms of each language over all its documents: characters by class, and its common words by hash.
+    """Histograms of each language over all its documents that pass the base rules: characters by class, and its common words by hash.
 
     What comes to the driver is bounded by the rule: language_share languages of common_share words each. If there are more languages,
     those of the smaller ones are a table of lang and ref.
@@ -134,12 +134,14 @@ def language_references(df: DataFrame, text: str, lang: str, rule: Divergence) -
             for part, data, offsets in _slices(batch, text):
                 names = part[lang].fill_null("").dictionary_encode()
                 code = names.indices.to_numpy()
-                _, _, row, h = words(data, offsets)
+                base, (_, _, row, h) = _base_counts(data, offsets)
+                passed = ~base_failed(base["n_words"], base["n_repeat_words"])
+                row, h = row[passed[row]], h[passed[row]]
                 order = np.lexsort((h, code[row])) if len(h) else np.zeros(0, np.int64)
                 c, h = code[row][order], h[order]
                 new = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (h[1:] != h[:-1])]) if len(h) else np.zeros(0, np.int64)
                 n = np.diff(np.r_[new, len(h)])
-                classes = _class_counts(data, offsets)
+                classes = _class_counts(data, offsets) * passed[:, None]
                 by = np.stack([np.bincount(code, weights=x, minlength=len(names.dictionary)) for x in classes.T]).astype(np.int64)
                 total = np.bincount(code[row], minlength=len(names.dictionary))
                 k = len(CLASSES) + 1
@@ -198,7 +200,7 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance,
     word_distance (double, rounded to 6 places), base_failed, kept (boolean). kept is false where base_failed, or where a histogram of
     enough characters or words is too far from its language's. A null text has no words, so base_failed
-    holds; a null language is a language of its own; every language with words has a reference, however small its share. Rows are judged each by itself, so repeated rows and ties agree; an empty table gives
+    holds; a null language is a language of its own; every language with a document that passes the base rules has a reference, however small its share. Rows are judged each by itself, so repeated rows and ties agree; an empty table gives
     no rows; other columns are ignored.
     """
     spark = df.sparkSession

@@ -44,7 +44,7 @@ def test_far_histograms_are_rejected(spark):
 def test_small_languages_are_judged(spark):
     """Junk in a language of less than 1 in 1000 words, by references that are sent to all or joined."""
     rng = random.Random(5)
-    rows = [(i, " ".join(f"a{rng.randrange(3000)}" if j % 2 else "the" for j in range(8000)), "en") for i in range(300)]
+    rows = [(i, " ".join(f"a{rng.randrange(10**6)}" if j % 4 else "the" for j in range(8000)), "en") for i in range(300)]
     rows += [(1000 + i, " ".join(f"b{rng.randrange(3000)}" if j % 2 else ["ok", "es", "az"][j // 2 % 3] for j in range(100)), "xx") for i in range(20)]
     rows += [(2000, " ".join(f"{i}###%%%$$" for i in range(60)), "xx"), (2001, None, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
@@ -54,6 +54,15 @@ def test_small_languages_are_judged(spark):
     assert all(one[1000 + i].kept for i in range(20))
 
 
+def test_failed_documents_are_not_in_the_reference(spark):
+    rng = random.Random(6)
+    clean = [(i, " ".join(rng.choice(["of", "the", *(f"n{rng.randrange(3000)}" for _ in range(4))]) for _ in range(150)), "en") for i in range(40)]
+    junk = [(100 + i, "### $$$ %%% " * 2000, "en") for i in range(20)]
+    judged = lambda rows: {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    alone, mixed = judged(clean), judged(clean + junk)
+    assert all(mixed[100 + i].base_failed for i in range(20)) and all(alone[i] == mixed[i] and alone[i].kept for i in range(40))
+
+
 def test_distance_bounds():
     assert js_distance(np.array([[1.0, 0]]), np.array([[0, 1.0]]))[0] == 1
     assert js_distance(np.array([[2.0, 2]]), np.array([[5.0, 5]]))[0] == 0
