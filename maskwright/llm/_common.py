@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +20,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def partitions(spark: SparkSession) -> int:
-    """The session's shuffle partitions; the number of hash buckets follows it, and so the input."""
+    """The session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Bytes of input for each hash bucket, which one Python task holds at once with what is derived from it.
+BUCKET_BYTES = 16 << 20
+
+
+class Buckets:
+    """Hash buckets, numbered so that Spark's hash partitioning deals them evenly: as many to each shuffle partition."""
+
+    def __init__(self, n: int, parts: int):
+        self.n = n
+        self.labels = np.zeros(n, np.int32)
+        want, at, label = -(-n // parts), np.zeros(parts, np.int64), 0
+        while (at < want).any():  # numbers that hash to each partition, as many as it is to have
+            numbers = np.arange(label, label + 4 * n + 64, dtype=np.int64)
+            label += len(numbers)
+            for number, part in zip(numbers.tolist(), (spark_hash(numbers) % parts).tolist(), strict=True):
+                bucket = part + parts * int(at[part])
+                if at[part] < want:
+                    at[part] += 1
+                    if bucket < n:
+                        self.labels[bucket] = number
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The bucket of each hash."""
+        return self.labels[(x % U64(self.n)).astype(np.int64)]
+
+
+def spark_hash(x: np.ndarray) -> np.ndarray:
+    """What Spark's hash partitioning makes of whole numbers of 32 bits."""
+    low = (1 << 32) - 1
+    turn = lambda v, by: (v << by | v >> (32 - by)) & low
+    k = turn((x & low) * 0xCC9E2D51 & low, 15) * 0x1B873593 & low
+    h = (turn(42 ^ k, 13) * 5 + 0xE6546B64 & low) ^ 4
+    h = (h ^ h >> 16) * 0x85EBCA6B & low
+    h = (h ^ h >> 13) * 0xC2B2AE35 & low
+    h ^= h >> 16
+    return np.where(h >= 1 << 31, h - (1 << 32), h)
+
+
+def hash_buckets(df: DataFrame) -> Buckets:
+    """Buckets for a table: one for each shuffle partition, or more by its size where Spark knows it (files, checkpoints), so that a bucket is bounded whatever the session's partitions are."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = partitions(df.sparkSession)
+    return Buckets(max(parts, -(-known // BUCKET_BYTES) if known < 1 << 50 else 0), parts)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares, from spark.checkpoint.dir; only a session without one (tests) gets a local folder."""
+    """The folder that the cluster shares, from spark.checkpoint.dir; without one a session on one machine (tests) gets a local folder, any other an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="maskwright-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="maskwright-"))
     return str(sc._jsc.sc().getCheckpointDir().get())
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder."""
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark has it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def cut_lineage(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Checkpoint to the shared folder. Narrow tables, a few numbers for some of the documents, are written in an eighth of the shuffle partitions."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return (df.coalesce(max(1, partitions(df.sparkSession) // 8)) if narrow else df).checkpoint()
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,6 +106,38 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
+_lean = False
+
+
+def lean() -> None:
+    """Let this process give large freed blocks back to the system: workers stay alive between tasks, and what they keep adds up."""
+    global _lean
+    if not _lean:
+        _lean = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            libc = ctypes.CDLL("libc.so.6")
+            libc.mallopt(-3, 1 << 20)  # blocks from 1 MB on are mapped by themselves
+            libc.mallopt(-1, 8 << 20)  # and the heap's free end is cut at 8 MB
+        except (OSError, AttributeError):
+            pass  # another C library
+
+
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20, rows: int = 2048) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of a batch in stretches of about `most` bytes of text and at most `rows` rows, with the bytes and offsets.
+
+    A row is never split, so a text longer than `most` is a stretch of its own.
+    """
+    lean()
+    data, offsets = text_buffer(batch[text])
+    lo = 0
+    while lo < len(batch):
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1))
+        o = offsets[lo : hi + 1]
+        yield batch.slice(lo, hi - lo), data[o[0] : o[-1]], o - o[0]
+        lo = hi
+
+
 def fmix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over all 64."""
     x = x ^ (x >> U64(33))
