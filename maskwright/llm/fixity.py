@@ -1,9 +1,9 @@
 """Fixity audit of WARC replicas by Merkle trees over ordered offset ranges. DataFrame functions only.
 
-A file's records are hashed, records that begin in the same `range_bytes` bytes of the file make a lowest node, and
-`fanout` neighbouring nodes make the next one, up to a root for each file. As nodes are ranges of offsets and not of
-record numbers, a lost or added record changes its own branch alone. Replicas whose roots agree are done; for the others only the
-children of nodes that differ are looked at, level by level, and at last the records of the ranges that differ.
+Each replica makes its tree by itself: records that begin in the same `range_bytes` bytes of a file make a lowest node, the hash of their list in the order of
+offsets, and `fanout` neighbouring nodes make the next one, up to a root for each file. As nodes are ranges of offsets and not of
+record numbers, a lost or added record changes its own branch alone. The audit compares the replicas' roots; only where they differ it looks at the
+next nodes below, level by level, and at last at the records of the lowest nodes that differ. Records and nodes of branches that agree are never brought together.
 """
 
 from __future__ import annotations
@@ -79,47 +79,83 @@ def record_digests(df: DataFrame, file: str, offset: str, content: str) -> DataF
     return df.select(F.col(file).cast("string").alias("file"), F.col(offset).cast("long").alias("offset"), F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("digest"))
 
 
-def _node(children: Column) -> Column:
-    """Hash of the ordered children; null without any."""
-    return F.when(F.size(children) > 0, F.sha2(F.concat(F.lit("1"), F.array_join(F.array_sort(children), ",")), 256))
+#: Records without an offset have no place in their file. They make a tree of their own, in which their digest gives the place, one of so many.
+UNPLACED = 1 << 40
+
+
+def _hash(*parts: Column | str) -> Column:
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def manifest(records: DataFrame) -> DataFrame:
+    """A replica's records (file, offset, length, digest), each different one once with its number of copies; placed: whether it has an offset; at: its place in the tree."""
+    counted = records.select(F.coalesce("file", F.lit("")).alias("file"), "offset", "length", "digest").groupBy("file", "offset", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    spread = F.pmod(F.xxhash64("length", "digest"), F.lit(UNPLACED))
+    return counted.withColumn("placed", F.col("offset").isNotNull()).withColumn("at", F.coalesce("offset", spread))
+
+
+NODE = ["file", "placed", "node"]
+
+
+def merkle_tree(records: DataFrame, range_bytes: int = 1 << 20, fanout: int = 16) -> list[DataFrame]:
+    """The tree of one replica's manifest: its levels, lowest first, each with file, placed, node (number within the level) and hash. Files' roots are the nodes 0 of
+    the last level; files that need fewer levels repeat theirs upwards."""
+    ordered = F.array_sort(F.collect_list(F.struct("at", "length", "digest", "copies")))
+    listed = F.transform(ordered, lambda x: F.concat_ws(":", x["at"], x["length"], x["digest"], x["copies"]))
+    levels = [cut_lineage(records.groupBy("file", "placed", F.floor(F.col("at") / F.lit(range_bytes)).alias("node")).agg(_hash(F.lit("0"), listed).alias("hash")))]
+    reach = levels[0].agg(F.max("node")).first()[0] or 0
+    below = F.array_sort(F.collect_list(F.struct("node", "hash")))
+    while reach > 0:
+        up = levels[-1].groupBy("file", "placed", F.floor(F.col("node") / F.lit(fanout)).alias("up"))
+        levels.append(cut_lineage(up.agg(_parent(below).alias("hash")).select("file", "placed", F.col("up").alias("node"), "hash"), narrow=True))
+        reach //= fanout
+    return levels
+
+
+def _parent(children: Column) -> Column:
+    """Hash of a list of (node, hash)."""
+    return _hash(F.lit("1"), F.transform(children, lambda x: F.concat_ws(":", x["node"], x["hash"])))
+
+
+def grown(tree: list[DataFrame], levels: int) -> list[DataFrame]:
+    """A tree of more levels: its roots are repeated as the nodes above, by the same rule, so equal files stay equal."""
+    tree = list(tree)
+    while len(tree) < levels:
+        tree.append(tree[-1].withColumn("hash", _parent(F.array(F.struct("node", "hash")))))
+    return tree
+
+
+def differing_ranges(tree_a: list[DataFrame], tree_b: list[DataFrame], fanout: int = 16) -> DataFrame:
+    """The lowest nodes (file, placed, node) below roots that differ, reached through nodes that differ alone. A level's nodes that differ are settled before the next one is read."""
+    levels, differ = max(len(tree_a), len(tree_b)), None
+    for a, b in reversed(list(zip(grown(tree_a, levels), grown(tree_b, levels), strict=True))):
+        a, b = (t.select(*NODE, F.col("hash").alias(n)) for t, n in ((a, "a"), (b, "b")))
+        if differ is not None:
+            up = differ.select(F.col("file").alias("_file"), F.col("placed").alias("_placed"), F.col("node").alias("_node"))
+            a, b = (t.join(up, (t["file"] == F.col("_file")) & (t["placed"] == F.col("_placed")) & (F.floor(t["node"] / F.lit(fanout)) == F.col("_node")), "left_semi") for t in (a, b))
+        differ = cut_lineage(a.join(b, NODE, "full").filter(~F.col("a").eqNullSafe(F.col("b"))).select(*NODE), narrow=True)
+    return differ
 
 
 def audit(replica_a: DataFrame, replica_b: DataFrame, range_bytes: int = 1 << 20, fanout: int = 16) -> DataFrame:
     """Records in which two replicas, as record_digests gives them, differ.
 
     Returns file, offset, status (changed, missing: only in the first, extra: only in the second), a_length, a_digest, b_length,
-    b_digest, a_copies, b_copies. Null files or offsets are told apart from others and compared like
-    them (file '' and offset -1). A record that a replica lists twice differs from one listed once. If several
-    records share an offset the least digest of those that differ is reported for each side. Empty replicas agree; an empty one against a full one has every record
-    missing. Other columns are ignored. A lowest node holds at most range_bytes starts, and any other at most fanout children.
+    b_digest, a_copies, b_copies (of the records that differ). A null file counts as file '', and null offsets, which are reported as -1, are told apart from all others. A record that a replica lists
+    twice differs from one listed once. If several records share an offset the least digest of those that differ is reported for each side. Records of any length are hashed where
+    they stand. Empty replicas agree; an empty one against a full one has every record missing. Other columns are ignored. A lowest node lists at most
+    the different records of range_bytes starts, and any other at most fanout children, so no node grows with a file.
     """
-    sides = [
-        r.select(F.coalesce("file", F.lit("")).alias("file"), F.coalesce("offset", F.lit(-1).cast("long")).alias("offset"), "length", "digest", F.lit(a).alias("_a"), F.lit(1 - a).alias("_b"))
-        for r, a in ((replica_a, 1), (replica_b, 0))
-    ]
-    # equal records of both replicas meet in one row; a replica's list of them is a number
-    leaves = sides[0].union(sides[1]).groupBy("file", "offset", "length", "digest").agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
-    leaves = cut_lineage(leaves.withColumn("node", F.floor(F.col("offset") / F.lit(range_bytes))))
-    leaf = lambda n: F.when(F.col(n) > 0, F.sha2(F.concat_ws(":", F.lit("0"), F.lpad(F.col("offset").cast("string"), 20, "0"), "length", "digest", n), 256))
-    entry = lambda n: F.when(F.col(n) > 0, F.struct(F.lpad(F.col("offset").cast("string"), 20, "0").alias("k"), leaf(n).alias("h")))
-    listed = lambda e: F.transform(F.array_sort(F.collect_list(e)), lambda x: F.concat(x["k"], F.lit("="), x["h"]))
-    level = leaves.groupBy("file", "node").agg(_node(listed(entry("a"))).alias("a"), _node(listed(entry("b"))).alias("b"))
-    levels = [cut_lineage(level)]
-    reach = leaves.agg(F.max("node")).first()[0] or 0
-    while reach > 0:
-        child = lambda n: F.when(F.col(n).isNotNull(), F.concat(F.lpad(F.col("node").cast("string"), 20, "0"), F.lit("="), n))
-        level = level.groupBy("file", F.floor(F.col("node") / F.lit(fanout)).alias("node")).agg(_node(F.collect_list(child("a"))).alias("a"), _node(F.collect_list(child("b"))).alias("b"))
-        levels.append(level)
-        reach //= fanout
-    bad = None
-    for level in reversed(levels):  # roots first
-        differs = level.filter(~F.col("a").eqNullSafe(F.col("b")))
-        if bad is not None:
-            up = bad.select(F.col("file").alias("_file"), F.col("node").alias("_node"))
-            differs = differs.join(up, (F.col("file") == F.col("_file")) & (F.floor(F.col("node") / F.lit(fanout)) == F.col("_node")), "left_semi")
-        bad = differs.select("file", "node")
-    differing = leaves.filter("a <> b").join(bad, ["file", "node"], "left_semi")
+    records = [cut_lineage(manifest(r)) for r in (replica_a, replica_b)]
+    bad = differing_ranges(*(merkle_tree(r, range_bytes, fanout) for r in records), fanout)
+    near = bad.select(F.col("file").alias("_file"), F.col("placed").alias("_placed"), F.col("node").alias("_node"))
+    sides = []
+    for r, a in zip(records, (1, 0), strict=True):
+        inside = (F.col("file") == F.col("_file")) & (F.col("placed") == F.col("_placed")) & (F.floor(F.col("at") / F.lit(range_bytes)) == F.col("_node"))
+        own = r.join(near, inside, "left_semi")
+        sides.append(own.select("file", F.coalesce("offset", F.lit(-1).cast("long")).alias("offset"), "placed", "length", "digest", (F.col("copies") * a).alias("a"), (F.col("copies") * (1 - a)).alias("b")))
+    both = sides[0].union(sides[1]).groupBy("file", "offset", "placed", "length", "digest").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).filter("a <> b")
     side = lambda n, other: F.min(F.when(F.col(n) > F.col(other), F.struct("digest", "length")))
-    found = differing.groupBy("file", "offset").agg(side("a", "b").alias("x"), side("b", "a").alias("y"), F.sum("a").alias("a_copies"), F.sum("b").alias("b_copies"))
+    found = both.groupBy("file", "offset", "placed").agg(side("a", "b").alias("x"), side("b", "a").alias("y"), F.sum("a").alias("a_copies"), F.sum("b").alias("b_copies"))
     status = F.when(F.col("x").isNull(), "extra").when(F.col("y").isNull(), "missing").otherwise("changed")
     return found.select("file", "offset", status.alias("status"), F.col("x.length").alias("a_length"), F.col("x.digest").alias("a_digest"), F.col("y.length").alias("b_length"), F.col("y.digest").alias("b_digest"), "a_copies", "b_copies")

@@ -33,12 +33,37 @@ def test_matches_brute_force_at_all_tree_heights(spark):
     b.remove(("dup", 1, "same"))
     b[b.index(("tie", 4, "q"))] = ("tie", 4, "r")
     want = brute(a, b)
-    for range_bytes, fanout in ((1 << 20, 16), (64, 2), (1000, 3)):
+    for range_bytes, fanout in ((1 << 20, 16), (64, 4), (1000, 3)):
         got = {(r.file, r.offset): r for r in fixity.audit(replica(spark, a), replica(spark, b), range_bytes, fanout).collect()}
         assert {k: ((r.a_digest, r.a_length), (r.b_digest, r.b_length)) for k, r in got.items()} == want
         assert got["one", 0].status == "missing" and got["new", 0].status == "extra" and got["tie", 4].status == "changed"
 
 
+def test_only_differing_branches_are_descended(spark):
+    """Nodes below equal roots, and below equal nodes, are never compared, whatever they hold; and what differs below is found by the nodes alone."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"f{i % 4}", 100 * i, f"record {i}") for i in range(400)]
+    other = [(f, o, "changed" if (f, o) == ("f1", 12100) else x) for f, o, x in rows]
+    a, b = (fixity.merkle_tree(fixity.manifest(replica(spark, r)), 2048, 8) for r in (rows, other))
+    assert len(a) == len(b) == 3
+    node = 12100 // 2048
+    assert [tuple(r) for r in fixity.differing_ranges(a, b, 8).collect()] == [("f1", True, node)]
+    assert a[-1].count() == 4 and a[-1].filter("node <> 0").count() == 0
+    # damaged nodes of a file whose root agrees, and of another branch of the one that differs: not looked at
+    broken = [b[0].withColumn("hash", F.when((F.col("file") == "f2") | (F.col("file") == "f1") & (F.col("node") > 8), F.lit("x")).otherwise(F.col("hash"))), *b[1:]]
+    assert [r.node for r in fixity.differing_ranges(a, broken, 8).collect()] == [node]
+    # a tree with more levels than the other
+    assert fixity.differing_ranges(fixity.grown(a, 4), a, 8).count() == 0
+
+
+def test_many_records_without_place_are_spread(spark):
+    rows = [(None, None, f"r{i}") for i in range(300)]
+    assert fixity.merkle_tree(fixity.manifest(replica(spark, rows)))[0].count() > 250
+    got = fixity.audit(replica(spark, rows), replica(spark, rows[1:])).collect()
+    assert [(r.file, r.offset, r.status) for r in got] == [("", -1, "missing")]
+
+
 def test_equal_and_empty_replicas(spark):
     rows = [("f", i * 10, str(i)) for i in range(50)]
     assert fixity.audit(replica(spark, rows), replica(spark, rows[::-1])).count() == 0
