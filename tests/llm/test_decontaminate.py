@@ -70,10 +70,42 @@ def test_passes_agree(spark):
     assert [x[:4] for x in one] == [x[:4] for x in many]
 
 
+def searchable(items):
+    return Index([w for _, w in items], Leak())
+
+
+def test_buckets_find_the_candidates(spark):
+    """Without the walks' buckets nothing is found, as only they name candidates; with them copies are."""
+    rng = np.random.default_rng(5)
+    items = [(i, rng.integers(1, 2**63, 30, dtype=np.uint64)) for i in range(20)]
+    index = searchable(items)
+    assert (index.walks > 0).all()
+    h = np.concatenate([w for _, w in items])
+    assert {m[1] for m in index.search(h, np.zeros(len(h), np.int64), 1)} == set(range(20))
+    index.buckets = {n: [type(t)(t.key[:0], t.value[:0]) for t in tables] for n, tables in index.buckets.items()}
+    assert index.search(h, np.zeros(len(h), np.int64), 1) == []
+
+
+def test_common_runs_take_bounded_memory():
+    """A run that a text holds 3,000 times and every item holds: 300,000 hits, looked at a part at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    run, between = (rng.integers(1, 2**63, n, dtype=np.uint64) for n in (4, 1))
+    items = [(i, np.r_[run, rng.integers(1, 2**63, 26, dtype=np.uint64)]) for i in range(100)]
+    index = searchable(items)
+    h = np.r_[np.tile(np.r_[run, between], 3000), items[7][1]]
+    tracemalloc.start()
+    found = index.search(h, np.zeros(len(h), np.int64), 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [m[1] for m in found] == [7] and peak < 100e6
+
+
 def test_recall_on_copies_with_all_allowed_edits():
     rng = np.random.default_rng(3)
     items = [(i, rng.integers(1, 2**63, int(rng.integers(14, 60)), dtype=np.uint64)) for i in range(60)]
-    index = Index(items, Leak())
+    index = searchable(items)
     found = n = 0
     for i, w in items:
         for _ in range(5):
@@ -90,7 +122,7 @@ def test_recall_by_length_and_kind_of_edit():
     rng = np.random.default_rng(4)
     new = lambda n: rng.integers(1, 2**63, n, dtype=np.uint64)
     items = [(i, new(n)) for i, n in enumerate([40] * 8 + [120] * 4 + [250] * 2)]
-    index = Index(items, Leak())
+    index = searchable(items)
     for kind in ("insert", "replace", "remove"):
         for i, w in items:
             for _ in range(6):
