@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_VALUES, U64, bounds, cut_lineage, fmix, partitions, windows, words
-from .quality import _slices
+from ._common import LOWER_VALUES, U64, bounds, cut_lineage, fmix, lean, partitions, slices, windows, words
 from .substring import _ids
 
 
@@ -35,8 +34,9 @@ class Near:
     words: int = 5
     rows: int = 5
     bands: int = 25
-    #: Classes of a component that one task compares.
+    #: Classes of a component that one task compares at most, and shingles of them all together (8 bytes each, some ten times as much while they are compared).
     block: int = 1500
+    block_shingles: int = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +97,7 @@ def _set_hash(row: np.ndarray, key: np.ndarray, n_rows: int, seed: int) -> np.nd
     return fmix(sums[begin[1:]] - sums[begin[:-1]] + np.diff(begin).astype(U64))
 
 
-SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, text_hash long"
 
 
 def sketched(df: DataFrame, rule: Near) -> DataFrame:
@@ -106,7 +106,7 @@ def sketched(df: DataFrame, rule: Near) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = rule.rows * rule.bands
         for batch in batches:
-            for part, data, offsets in _slices(batch, "text", 1 << 21):
+            for part, data, offsets in slices(batch, "text"):
                 n = len(part)
                 row, key = shingle_sets(data, offsets, rule.words)
                 sketch = sketches(row, key, n, t).reshape(n, rule.bands, rule.rows)
@@ -122,11 +122,12 @@ def sketched(df: DataFrame, rule: Near) -> DataFrame:
                         pa.array(_set_hash(row, key, n, 1).view(np.int64)),
                         pa.array(_set_hash(row, key, n, 2).view(np.int64)),
                         pa.FixedSizeListArray.from_arrays(pa.array(band.reshape(-1).view(np.int64)), rule.bands).cast(pa.list_(pa.int64())),
+                        part["text_hash"],
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "text_hash"],
                 )
 
-    return df.mapInArrow(run, SKETCHED)
+    return df.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, SKETCHED)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -134,20 +135,31 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     large-star and small-star steps, each of which is a sort of the edges by one end, with a checkpoint after each round."""
     pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
     each = lambda e, *pairs: e.select(F.inline(F.array(*(pair(*p) for p in pairs))))
-    e = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    e = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), narrow=True)
     for _ in range(most_rounds):
         if _is_flat(e):
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
         # large star: each node links its larger neighbours to its least neighbour (or itself)
         both = each(e, ("a", "b"), ("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        e = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = with_least(both, 2 * e.count()).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         # small star: each node links its smaller neighbours and itself to its least neighbour
-        e = e.join(e.groupBy("a").agg(F.min("b").alias("m")), "a")
-        e = cut_lineage(each(e, ("b", "m"), ("a", "m")).filter("a <> b").distinct())
+        e = cut_lineage(each(with_least(e, None), ("b", "m"), ("a", "m")).filter("a <> b").distinct(), narrow=True)
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
+#: A hub has at least one in so many of all ends of edges, so there are at most as many hubs.
+HUB_SHARE = 500
+
+
+def with_least(e: DataFrame, ends: int | None) -> DataFrame:
+    """Edges with m, the least b of their a. With the number of edges given, those of hubs get it where they stand, so that no task gets all edges of a hub; the others by a shuffle."""
+    least = e.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
+    if ends is None:
+        return e.join(least.drop("_n"), "a")
+    hubs = F.broadcast(least.filter(F.col("_n") * HUB_SHARE > ends).drop("_n"))  # fewer than HUB_SHARE rows
+    return e.join(hubs, "a").unionByName(e.join(hubs, "a", "left_anti").join(least.drop("_n"), "a"))
+
+
 def _is_flat(e: DataFrame) -> bool:
     """Whether every node has one edge to its root, and no root has one: then the edges are the components."""
     ends = e.select(F.inline(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("root")), F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("root")))))
@@ -258,60 +270,65 @@ def _products(left: np.ndarray, right: np.ndarray, member: np.ndarray, token: np
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Near = Near()) -> DataFrame:
     """Groups of documents whose sets of lower-cased word shingles are linked.
 
-    Returns doc_id, n_shingles, component_id (least id that is reached by links, itself included) and kept (whether it
-    is the document's own). Texts with fewer words than a shingle are one shingle; null or empty texts have none and
-    are linked with nothing. Equal ids are one document if their sets are equal, and a row with a null id is a group of its own. An empty
-    table gives no rows; other columns are ignored. No cap: groups of any size are compared in blocks.
+    Returns doc_id, n_shingles, component_id (least id that is reached by links, itself included), kept (whether it
+    is the document's own) and text_hash (xxhash64 of the text: with doc_id it tells rows of one id apart). Texts with fewer words than a shingle are one shingle; null or empty texts have none and
+    are linked with nothing. Equal ids are one document if their sets are equal, else documents of their own; rows that are repeated whole have equal results, and a row with a null id is a
+    group of its own. An empty table gives no rows; other columns are ignored. No cap: groups of any size are compared in blocks. A text of any length is read whole
+    and must fit in a task's memory some fifty times.
     """
     buckets = partitions(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = cut_lineage(sketched(docs, rule))
     # equal sets: one class, named by its least document
     filled = known.filter("n_shingles > 0 and doc_id is not null")
-    classes = filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class"), F.first("bands").alias("bands"))
+    classes = filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = cut_lineage(classes)
     # a bucket's members are linked to its least one: as many candidate edges as entries
     entries = classes.select("class", F.explode("bands").alias("band"))
     least = entries.groupBy("band").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "b")
-    edges = cut_lineage(entries.join(least, "band").select(F.col("class").alias("a"), "b").filter("a <> b").distinct())
+    edges = cut_lineage(entries.join(least, "band").select(F.col("class").alias("a"), "b").filter("a <> b").distinct(), narrow=True)
     candidate = components(edges)
-    candidate = cut_lineage(candidate.union(candidate.select(F.col("component").alias("node"), "component").distinct()))
-    joined = _confirmed(docs, edges, candidate, rule, buckets)
+    candidate = cut_lineage(candidate.union(candidate.select(F.col("component").alias("node"), "component").distinct()), narrow=True)
+    sized = candidate.join(classes.select(F.col("class").alias("node"), "size"), "node")
+    joined = _confirmed(docs, edges, sized, rule, buckets)
     named = classes.select("set_a", "set_b", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
     named = named.select(F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), F.coalesce("component", "class").alias("_component"))
-    out = known.select("doc_id", "n_shingles", "set_a", "set_b").join(named, (F.col("set_a") == F.col("_a")) & (F.col("set_b") == F.col("_b")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
+    out = known.select("doc_id", "n_shingles", "set_a", "set_b", "text_hash").join(named, (F.col("set_a") == F.col("_a")) & (F.col("set_b") == F.col("_b")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("_component", "doc_id")
-    return out.select(F.col("doc_id").alias(doc_id), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select(F.col("doc_id").alias(doc_id), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_hash")
 
 
 def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Near, buckets: int) -> DataFrame:
     """Rows (node, component) of the components of all links, which lie within the candidate components.
 
-    A component of more than rule.block classes is dealt in blocks. First each block is compared in itself and with
+    candidate has columns node, component and size (shingles). A component of more than rule.block classes or rule.block_shingles shingles is dealt in blocks. First each block is compared in itself and with
     the component's hub, the class that most candidate edges lead to; in a group of near copies that links
     all of them. Then the strays, which are not linked with the hub, are compared with every block.
     """
-    sizes = candidate.groupBy("component").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / rule.block).cast("int"))
-    members = cut_lineage(candidate.join(sizes.select("component", "blocks"), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    sizes = candidate.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("n") / rule.block), F.least("n", F.ceil(F.col("size") / rule.block_shingles))).cast("int"))
+    members = cut_lineage(candidate.join(sizes.select("component", "blocks"), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), narrow=True)
     split = members.filter("blocks > 1")
     degree = edges.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
     hubs = split.join(degree, "node").groupBy("component").agg(F.expr("max_by(node, struct(degree, -node))").alias("hub"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in _slices(batch, "text", 1 << 21):
+            for part, data, offsets in slices(batch, "text"):
                 row, key = shingle_sets(data, offsets, rule.words)
                 begin = bounds(row, len(part))
                 raw = [key[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["component"], part["groups"], pa.array(raw, pa.binary())], names=["node", "component", "groups", "shingles"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["component"], part["groups"], part["alone"], pa.array(raw, pa.binary())], names=["node", "component", "groups", "alone", "shingles"])
 
     def compared(dealt: DataFrame) -> DataFrame:
         """dealt: node, component and groups, the numbers of those that the class is compared in."""
-        shipped = docs.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("node")).select("doc_id", "text", "component", "groups").mapInArrow(sets, "node long, component long, groups array<long>, shingles binary")
-        # groups of small components share a task's batch of groups
-        return shipped.withColumn("group", F.explode("groups")).drop("groups").withColumn("deal", F.pmod(F.xxhash64("component", "group"), F.lit(64 * buckets))).groupBy("deal").applyInArrow(confirm, "a long, b long")
+        shipped = docs.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("node")).select("doc_id", "text", "component", "groups", "alone").mapInArrow(sets, "node long, component long, groups array<long>, alone boolean, shingles binary")
+        # groups of small components are compared together, a block of a split one by itself
+        each, deal = shipped.withColumn("group", F.explode("groups")).drop("groups"), F.xxhash64("component", "group")
+        return each.withColumn("deal", F.when(F.col("alone"), -1 - F.abs(deal)).otherwise(F.pmod(deal, F.lit(64 * buckets)))).drop("alone").groupBy("deal").applyInArrow(confirm, "a long, b long")
 
     def confirm(rows: pa.Table) -> pa.Table:
+        lean()
         a_out, b_out = [], []
         node, component, group = (rows[c].to_numpy() for c in ("node", "component", "group"))
         shingles = rows["shingles"]
@@ -327,7 +344,7 @@ def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Ne
         return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
 
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1).cast("array<long>")
-    first = members.join(hubs, "component", "left").select("node", "component", F.when(F.col("node") == F.col("hub"), every("blocks")).otherwise(F.array(F.col("block").cast("long"))).alias("groups"))
+    first = members.join(hubs, "component", "left").select("node", "component", F.when(F.col("node") == F.col("hub"), every("blocks")).otherwise(F.array(F.col("block").cast("long"))).alias("groups"), (F.col("blocks") > 1).alias("alone"))
     found = cut_lineage(compared(first))
     trees = components(found)
     if split.isEmpty():
@@ -335,12 +352,12 @@ def _confirmed(docs: DataFrame, edges: DataFrame, candidate: DataFrame, rule: Ne
     tree = split.join(trees.withColumnRenamed("component", "tree"), "node", "left").withColumn("tree", F.coalesce("tree", "node"))
     home = tree.join(hubs.select("hub"), F.col("node") == F.col("hub")).select(F.col("component").alias("c"), F.col("tree").alias("home"))
     placed = tree.join(home, F.col("component") == F.col("c")).withColumn("stray", F.col("tree") != F.col("home"))
-    strays = placed.filter("stray").groupBy("component").agg(F.ceil(F.count(F.lit(1)) / rule.block).cast("int").alias("stray_blocks"))
+    strays = placed.filter("stray").groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / rule.block), F.ceil(F.sum("size") / rule.block_shingles)).cast("int").alias("stray_blocks"))
     # group s * blocks + j: the strays of stray block s, and all of block j
     placed = placed.join(strays, "component").withColumn("s", F.pmod(F.xxhash64("node", F.lit(1)), F.col("stray_blocks")))
     as_member = F.expr("transform(sequence(0, stray_blocks - 1), s2 -> cast(s2 as bigint) * blocks + block)")
     as_stray = F.expr("transform(sequence(0, blocks - 1), j -> s * blocks + j)")
-    second = placed.select("node", "component", F.when(F.col("stray"), F.array_union(as_member, as_stray)).otherwise(as_member).alias("groups"))
+    second = placed.select("node", "component", F.when(F.col("stray"), F.array_union(as_member, as_stray)).otherwise(as_member).alias("groups"), F.lit(True).alias("alone"))
     more = cut_lineage(compared(second))
     if more.isEmpty():
         return trees

@@ -70,7 +70,7 @@ def test_odd_texts(docs, corpus, spark, no_docs):
     check(spark, [(r[0], r[1]) for r in corpus])
     assert near_duplicates(no_docs).count() == 0
     got = near_duplicates(docs)
-    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept", "text_hash"]
     got = near_duplicates(spark.createDataFrame([(None, "a b c"), (None, "a b c"), (2, "a b c"), (2, "a b c"), (5, "A b C")], "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (0, 0, True), (2, 2, True), (2, 2, True), (5, 2, False)]
 
