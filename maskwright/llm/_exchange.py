@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import U64, delta, fmix, undelta
+from ._common import U64, Buckets, delta, fmix, lean, undelta
 
 ROW = "bucket int, kind int, h binary, g binary, d binary, p binary, t binary"
 NAMES = ["bucket", "kind", "h", "g", "d", "p", "t"]
@@ -51,8 +51,8 @@ def answers(d: np.ndarray, p: np.ndarray, t: np.ndarray) -> Entries:
     return Entries(np.zeros(0, U64), d, p, t)
 
 
-def doc_bucket(d: np.ndarray, buckets: int) -> np.ndarray:
-    return (fmix(d.astype(np.int64).view(U64) + U64(77)) % U64(buckets)).astype(np.int32)
+def doc_bucket(d: np.ndarray, buckets: Buckets) -> np.ndarray:
+    return buckets.of(fmix(d.astype(np.int64).view(U64) + U64(77)))
 
 
 def packed(kind: int, bucket: np.ndarray, e: Entries, width: int = 8) -> pa.RecordBatch | None:
@@ -89,11 +89,16 @@ def unpacked(rows: pa.Table, width: int = 8) -> Entries:
     )
 
 
+def flush_at(buckets: Buckets) -> int:
+    """Enough entries for rows of some length in each bucket, within the bounds of FLUSH."""
+    return int(np.clip(64 * buckets.n, *FLUSH))
+
+
 class Packer:
     """Collects the parts of a task's slices and packs them when there are enough."""
 
-    def __init__(self, buckets: int):
-        self.most = int(np.clip(64 * buckets, *FLUSH))
+    def __init__(self, most: int):
+        self.most = most
         self.parts: list[Entries] = []
         self.n = 0
 
@@ -120,10 +125,11 @@ def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, first[which] if len(k) else first, size[which] if len(k) else size
 
 
-def looked_up(emitted: DataFrame, reduce: Callable[[dict[int, Entries]], Entries], buckets: int, widths: dict[int, int]) -> DataFrame:
+def looked_up(emitted: DataFrame, reduce: Callable[[dict[int, Entries]], Entries], buckets: Buckets, widths: dict[int, int]) -> DataFrame:
     """Send entries to their buckets, and each answer on to its document's bucket."""
 
     def settle(rows: pa.Table) -> pa.Table:
+        lean()
         kinds = rows["kind"].to_numpy()
         own = {int(k): unpacked(rows.filter(pa.array(kinds == k)), widths.get(int(k), 8)) for k in np.unique(kinds)}
         parts = [x for x in (own.pop(ANSWER, None), reduce(own) if own else None) if x is not None and len(x)]
@@ -138,6 +144,7 @@ def by_document(found: DataFrame) -> DataFrame:
     """One row per document: doc, and its answers' positions and tags as bytes; equal positions are merged by OR."""
 
     def merge(rows: pa.Table) -> pa.Table:
+        lean()
         e = unpacked(rows)
         order = np.lexsort((e.p, e.d))
         d, p, t = e.d[order], e.p[order], e.t[order]

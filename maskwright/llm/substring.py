@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import _exchange as X
-from ._common import U64, bounds, partitions, windows, words
-from .quality import _slices
+from ._common import U64, Buckets, bounds, hash_buckets, lean, slices, windows, words
 
 #: Perfect difference covers by period: each non-zero difference occurs.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -32,17 +31,17 @@ def _ids(batch: pa.RecordBatch, doc_id: str) -> tuple[np.ndarray, np.ndarray]:
     return column.fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> U64(32)) % U64(buckets)).astype(np.int32)
+def _bucket(h: np.ndarray, buckets: Buckets) -> np.ndarray:
+    return buckets.of(h >> U64(32))
 
 
-def _anchor_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: int, buckets: int) -> DataFrame:
+def _anchor_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: int, buckets: Buckets, flush_at: int) -> DataFrame:
     cover = np.zeros(period, bool)
     cover[list(COVERS[period])] = True
     k = window - period + 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = X.Packer(buckets)
+        packer = X.Packer(flush_at)
 
         def flush() -> Iterator[pa.RecordBatch]:
             e = packer.take()
@@ -55,7 +54,7 @@ def _anchor_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: i
             yield from filter(None, (X.packed(0, _bucket(sent.h, buckets), sent, 4), X.packed(X.ANSWER, X.doc_bucket(e.d[~alone], buckets), X.answers(e.d[~alone], e.p[~alone], e.t[~alone]))))
 
         for batch in batches:
-            for part, data, offsets in _slices(batch, text):
+            for part, data, offsets in slices(batch, text):
                 _, _, row, h = words(data, offsets)
                 ids, known = _ids(part, doc_id)
                 begin = bounds(row, len(part))
@@ -78,9 +77,9 @@ def _settle_anchors(own: dict[int, X.Entries]) -> X.Entries:
     return X.answers(e.d, e.p, np.zeros(len(e), np.uint16))
 
 
-def _window_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: int, buckets: int) -> DataFrame:
+def _window_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: int, buckets: Buckets, flush_at: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = X.Packer(buckets)
+        packer = X.Packer(flush_at)
 
         def flush() -> Iterator[pa.RecordBatch]:
             e = packer.take()
@@ -90,10 +89,10 @@ def _window_rows(docs: DataFrame, doc_id: str, text: str, window: int, period: i
             e = e[order]
             later = e.d > e.d[first]
             sent, found = e[~later], e[later]
-            yield from filter(None, (X.packed(0, (sent.g % U64(buckets)).astype(np.int32), X.Entries(sent.h, sent.d, sent.p, sent.t)), X.packed(X.ANSWER, X.doc_bucket(found.d, buckets), X.answers(found.d, found.p, found.t))))
+            yield from filter(None, (X.packed(0, buckets.of(sent.g), X.Entries(sent.h, sent.d, sent.p, sent.t)), X.packed(X.ANSWER, X.doc_bucket(found.d, buckets), X.answers(found.d, found.p, found.t))))
 
         for batch in X.answered(batches):
-            for part, data, offsets in _slices(batch, text):
+            for part, data, offsets in slices(batch, text):
                 _, _, row, h = words(data, offsets)
                 ids, _ = _ids(part, doc_id)
                 begin = bounds(row, len(part))
@@ -121,7 +120,7 @@ def _settle_windows(own: dict[int, X.Entries]) -> X.Entries:
     return X.answers(e.d, e.p, np.zeros(len(e), np.uint16))
 
 
-def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 13, period: int = 7, texts: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 13, period: int = 7, texts: bool = True, flush_at: int | None = None) -> DataFrame:
     """df without words that lie in a window of `window` words which also starts in a document with a smaller id.
 
     Words are runs of non-space bytes, unchanged; windows are judged on the input. Adds n_words, n_removed
@@ -129,12 +128,14 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     where any was removed, else the text as it was); kept_sha256 is that of the kept words joined by one space, in lower-case hexadecimal. A null or empty text has no
     words. doc_id names a document: rows with equal id and text are the same document and are treated
     alike, and rows with a null id neither lose words nor remove any. Ties between equal windows go to the
-    smaller id; an empty table gives no rows; other columns stay, but for those named like the added ones.
+    smaller id; a text of any length is read whole and must fit in a task's memory some ten times; an empty table gives no rows; other columns stay, but for those named like
+    the added ones. `flush_at`: entries that a map task holds before it packs them.
     """
-    buckets = partitions(df.sparkSession)
+    buckets = hash_buckets(df)
+    flush_at = flush_at or X.flush_at(buckets)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    anchors = X.by_document(X.looked_up(_anchor_rows(docs, "doc_id", "text", window, period, buckets), _settle_anchors, buckets, {0: 4}))
-    found = X.looked_up(_window_rows(X.marked(docs, anchors, "doc_id"), "doc_id", "text", window, period, buckets), _settle_windows, buckets, {})
+    anchors = X.by_document(X.looked_up(_anchor_rows(docs, "doc_id", "text", window, period, buckets, flush_at), _settle_anchors, buckets, {0: 4}))
+    found = X.looked_up(_window_rows(X.marked(docs, anchors, "doc_id"), "doc_id", "text", window, period, buckets, flush_at), _settle_windows, buckets, {})
     added = {"n_words": T.LongType(), "n_removed": T.LongType(), "spans": T._parse_datatype_string("array<array<long>>"), "kept_sha256": T.StringType()}
     if texts:
         added["kept_text"] = T.StringType()
@@ -147,6 +148,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     key, body = ("doc_id", "text") if narrow else (doc_id, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             n_words, n_removed, spans, kept_text, sha = [], [], [], [], []
             for value, p in zip(batch[body], batch["p"], strict=True):

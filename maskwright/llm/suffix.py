@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import _exchange as X
-from ._common import U64, fmix, partitions, powers, prefix_sums, text_buffer
+from ._common import U64, Buckets, fmix, hash_buckets, lean, powers, prefix_sums, slices, text_buffer
 from ._common import _BASE as BASE
-from .quality import _slices
 from .substring import _ids
 
 #: Tags: a segment or string occurs earlier, or later; its anchor occurs elsewhere; its anchor stands in different segments.
@@ -37,6 +36,8 @@ EARLIER, LATER, ANCHOR, MIXED = 1, 2, 4, 8
 LENGTH_SHIFT = 4  # a tag's upper bits hold the number of a segment's starts
 #: Starts that are looked at together; a longer document is cut at multiples of it.
 CHUNK = 1 << 19
+#: A tag has 16 bits, LENGTH_SHIFT of them taken; a segment has as many starts as an anchor can serve at most.
+MOST_STARTS = (1 << 16 - LENGTH_SHIFT) - 1
 
 
 def suffix_array(data: bytes) -> np.ndarray:
@@ -107,26 +108,26 @@ def _sliding_least(key: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(after[: n - w + 1], before[w - 1 : n])
 
 
-def _chunks(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+def _chunks(data: np.ndarray, offsets: np.ndarray, length: int, chunk: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Byte ranges that hold whole documents together, or a stretch of a long one and the length - 1 bytes after it."""
     row, n = 0, len(offsets) - 1
     while row < n:
         lo = int(offsets[row])
-        last = int(np.searchsorted(offsets, lo + CHUNK, "right")) - 1
+        last = int(np.searchsorted(offsets, lo + chunk, "right")) - 1
         if last > row:
             yield lo, int(offsets[last])
             row = last
         else:
             end = int(offsets[row + 1])
-            for at in range(lo, max(lo + 1, end - length + 1), CHUNK):
-                yield at, min(end, at + CHUNK + length - 1)
+            for at in range(lo, max(lo + 1, end - length + 1), chunk):
+                yield at, min(end, at + chunk + length - 1)
             row += 1
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
+def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int, chunk: int = CHUNK):
     """Segments of all rows: row, first start within it, number of starts, hash of the anchor, hash of the text and the anchor's place in it."""
     out = []
-    for lo, hi in _chunks(data, offsets, length):
+    for lo, hi in _chunks(data, offsets, length, chunk):
         n = hi - lo - length + 1
         if n <= 0:
             continue
@@ -155,8 +156,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (fmix(h + U64(11)) % U64(buckets)).astype(np.int32)
+def _bucket(h: np.ndarray, buckets: Buckets) -> np.ndarray:
+    return buckets.of(fmix(h + U64(11)))
 
 
 def _ordered(e: X.Entries) -> tuple[X.Entries, np.ndarray, np.ndarray]:
@@ -173,9 +174,9 @@ def _ordered(e: X.Entries) -> tuple[X.Entries, np.ndarray, np.ndarray]:
     return e[order], place > 0, place < size - 1
 
 
-def _segment_rows(docs: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
+def _segment_rows(docs: DataFrame, length: int, k: int, buckets: Buckets, flush_at: int, chunk: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = X.Packer(buckets)
+        packer = X.Packer(flush_at)
 
         def flush() -> Iterator[pa.RecordBatch]:
             e = packer.take()  # h: anchor, g: text, t: starts
@@ -205,9 +206,9 @@ def _segment_rows(docs: DataFrame, length: int, k: int, buckets: int) -> DataFra
             yield from filter(None, [X.packed(1, _bucket(sent.h, buckets), X.Entries(sent.h, sent.d, sent.p, sent.t)), X.packed(X.ANSWER, X.doc_bucket(out.d, buckets), out)])
 
         for batch in batches:
-            for part, data, offsets in _slices(batch, "text", 1 << 20):
+            for part, data, offsets in slices(batch, "text"):
                 ids, known = _ids(part, "doc_id")
-                row, start, n, anchor, whole = segments(data, offsets, length, k)
+                row, start, n, anchor, whole = segments(data, offsets, length, k, chunk)
                 ok = known[row]
                 if packer.add(X.Entries(anchor, ids[row], start, n, whole)[np.flatnonzero(ok)]):
                     yield from flush()
@@ -234,11 +235,12 @@ def _settle_segments(own: dict[int, X.Entries]) -> X.Entries:
     return X.Entries.joined(found)
 
 
-def _string_rows(docs: DataFrame, length: int, repeated: int, buckets: int) -> DataFrame:
+def _string_rows(docs: DataFrame, length: int, repeated: int, buckets: Buckets, flush_at: int) -> DataFrame:
     """Strings of the segments that are not settled; kind 0 wants an answer, tag 1 says that it is known."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = X.Packer(buckets)
+        lean()
+        packer = X.Packer(flush_at)
         settled: list[X.Entries] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -251,7 +253,7 @@ def _string_rows(docs: DataFrame, length: int, repeated: int, buckets: int) -> D
                 found.append(X.answers(e.d, e.p, np.full(len(e), 1 << LENGTH_SHIFT, np.uint16))[np.flatnonzero(dup & (e.t == 0))])
                 e.t = np.where(dup, 1, e.t).astype(np.uint16)
                 sent = e[np.flatnonzero(~earlier)]
-                yield from filter(None, [X.packed(0, (sent.g % U64(buckets)).astype(np.int32), X.Entries(sent.h, sent.d, sent.p, sent.t))])
+                yield from filter(None, [X.packed(0, buckets.of(sent.g), X.Entries(sent.h, sent.d, sent.p, sent.t))])
             if found:
                 out = X.Entries.joined(found)
                 yield from filter(None, [X.packed(X.ANSWER, X.doc_bucket(out.d, buckets), out)])
@@ -274,14 +276,14 @@ def _string_rows(docs: DataFrame, length: int, repeated: int, buckets: int) -> D
                     h = (p[length:] - p[:-length]) * powers(BASE, len(p))[: len(p) - length]
                     if packer.add(X.Entries(fmix(h), np.full(m, ids[i]), np.arange(a, a + m), np.full(m, known, np.uint16), fmix(h ^ U64(0x5851F42D4C957F2D)))):
                         yield from flush()
-            if sum(map(len, settled)) > X.FLUSH[0]:
+            if sum(map(len, settled)) > flush_at:
                 yield from flush()
         yield from flush()
 
     return docs.mapInArrow(emit, X.ROW)
 
 
-def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, keep_first: bool = False, k: int = 32, texts: bool = True) -> DataFrame:
+def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, keep_first: bool = False, k: int = 32, texts: bool = True, flush_at: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """df without bytes that lie in a string of `length` bytes which also starts elsewhere.
 
     With keep_first only strings that also start earlier (in a smaller id, or before in the text) are removed, that is where LPF >=
@@ -290,12 +292,16 @@ def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "
     (maximal removed runs as arrays [first, end)), kept_sha256 (lower-case hexadecimal, of the bytes left) and, with
     texts, kept (binary: the bytes left, which may cut a character). A null text is empty. Rows with equal id and text are one document that is
     given twice, so their strings don't count as repeats of each other; rows with a null id neither lose nor
-    remove bytes. An empty table gives no rows; other columns stay, but for those named like the added ones.
+    remove bytes. A text of any length is read whole, in stretches of `chunk` starts; it must fit in a task's memory some ten times. An empty table gives
+    no rows; other columns stay, but for those named like the added ones. `flush_at`: entries that a map task holds before it packs them.
     """
-    buckets = partitions(df.sparkSession)
+    if not k <= length < k + MOST_STARTS:
+        raise ValueError(f"length must be from {k} to {k + MOST_STARTS - 1}")
+    buckets = hash_buckets(df)
+    flush_at = flush_at or X.flush_at(buckets)
     repeated = EARLIER if keep_first else EARLIER | LATER
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = X.by_document(X.looked_up(_segment_rows(docs, length, k, buckets), _settle_segments, buckets, {}))
+    first = X.by_document(X.looked_up(_segment_rows(docs, length, k, buckets, flush_at, chunk), _settle_segments, buckets, {}))
 
     def settle(own: dict[int, X.Entries]) -> X.Entries:
         e, earlier, later = _ordered(own[0])
@@ -303,7 +309,7 @@ def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "
         at = np.flatnonzero(dup & (e.t == 0))
         return X.answers(e.d[at], e.p[at], np.full(len(at), 1 << LENGTH_SHIFT, np.uint16))
 
-    found = X.looked_up(_string_rows(X.marked(docs, first, "doc_id"), length, repeated, buckets), settle, buckets, {})
+    found = X.looked_up(_string_rows(X.marked(docs, first, "doc_id"), length, repeated, buckets, flush_at), settle, buckets, {})
     starts = X.by_document(found).select(F.col("doc").alias("_doc"), F.col("p").alias("_p"), F.col("t").alias("_t"))
     added = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "spans": T.ArrayType(T.ArrayType(T.LongType())), "kept_sha256": T.StringType()}
     if texts:
@@ -316,6 +322,7 @@ def remove_repeated_strings(df: DataFrame, doc_id: str = "doc_id", text: str = "
     final_names = [doc_id if c == key else text if c == body else c for c in out_names]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             data, offsets = text_buffer(batch[body])
             n_bytes, n_removed, spans, sha, kept = [], [], [], [], []

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from maskwright.llm import _exchange, substring
+from maskwright.llm import substring
 
 
 def brute(rows, window=13):
@@ -20,10 +20,9 @@ def brute(rows, window=13):
     return out
 
 
-@pytest.mark.parametrize("flush", [(50, 50), _exchange.FLUSH])
-def test_matches_brute_force(docs, corpus, flush, monkeypatch):
-    monkeypatch.setattr(_exchange, "FLUSH", flush)
-    got = {r.doc_id: r for r in substring.remove_repeats(docs).collect()}
+@pytest.mark.parametrize("flush_at", [50, None])
+def test_matches_brute_force(docs, corpus, flush_at):
+    got = {r.doc_id: r for r in substring.remove_repeats(docs, flush_at=flush_at).collect()}
     want = brute(corpus)
     assert got.keys() == want.keys()
     for key, (n, gone, sha, kept) in want.items():

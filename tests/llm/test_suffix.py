@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from maskwright.llm import _exchange, suffix
+from maskwright.llm import suffix
 
 
 def brute(rows, length, keep_first):
@@ -27,13 +27,11 @@ def brute(rows, length, keep_first):
 
 
 @pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("flush,chunk", [((50, 50), 1000), (_exchange.FLUSH, suffix.CHUNK)])
-def test_matches_brute_force(docs, corpus, keep_first, flush, chunk, monkeypatch):
-    monkeypatch.setattr(_exchange, "FLUSH", flush)
-    monkeypatch.setattr(suffix, "CHUNK", chunk)
+@pytest.mark.parametrize("flush_at,chunk", [(50, 1000), (None, suffix.CHUNK)])
+def test_matches_brute_force(docs, corpus, keep_first, flush_at, chunk):
     small = [r for r in corpus if len(r[1] or "") < 20000]
     frame = docs.filter("text is null or length(text) < 20000")
-    got = {r.doc_id: r for r in suffix.remove_repeated_strings(frame, keep_first=keep_first).collect()}
+    got = {r.doc_id: r for r in suffix.remove_repeated_strings(frame, keep_first=keep_first, flush_at=flush_at, chunk=chunk).collect()}
     want = brute(small, 400, keep_first)
     assert got.keys() == want.keys()
     for key, w in want.items():
@@ -73,6 +71,48 @@ def test_segments_that_differ_in_one_task_only(spark, keep_first):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == w, key
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_any_partitioning(spark, seed):
+    """Whole copies in one task, parts of them in another: the result is the same however rows are dealt."""
+    rng = random.Random(seed)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = []
+    for i in range(0, 90, 3):
+        whole = text(1500)
+        cut = rng.randrange(300)
+        rows += [(i, text(200) + whole + text(300)), (i + 1, text(100) + whole), (i + 2, whole[cut : cut + 1200])]
+    want = brute(rows, 400, False)
+    dealt = [rows[::3], rows[1::3] + rows[2::3]] if seed == 0 else [[] for _ in range(rng.randrange(2, 9))]
+    if seed:
+        for r in rows:
+            rng.choice(dealt).append(r)
+    frames = [spark.createDataFrame(x, "doc_id long, text string").coalesce(1) for x in dealt if x]
+    frame = frames[0]
+    for x in frames[1:]:
+        frame = frame.union(x)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeated_strings(frame, flush_at=rng.choice([None, 40])).collect()}
+    assert got == want
+
+
+def test_long_texts_that_share_passages(spark):
+    """Texts of several chunks; repeats are known by construction, as all else is random."""
+    rng = random.Random(3)
+    noise = lambda n: rng.randbytes(n // 2).hex()
+    shared = [noise(30_000) for _ in range(3)]
+    rows = [(i, noise(500_000) + shared[i] + noise(300_000) + shared[(i + 1) % 3] + noise(400_000)) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in suffix.remove_repeated_strings(frame).collect()}
+    for i, t in rows:
+        assert got[i].n_bytes == len(t)
+        # a byte or two beside a passage may agree by chance
+        assert 60_000 <= got[i].n_removed <= 60_020 and got[i].n_spans == 2
+
+
+def test_lengths_out_of_reach(spark, no_docs):
+    with pytest.raises(ValueError):
+        suffix.remove_repeated_strings(no_docs, length=5000)
+
+
 def test_lpf_array():
     rng = random.Random(4)
     for _ in range(40):
