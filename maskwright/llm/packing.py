@@ -8,8 +8,8 @@ Pieces then find their place by their rank among the pieces of the same length.
 
 from __future__ import annotations
 
-import base64
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,16 +41,26 @@ class ByteEncoder:
         import tiktoken
 
         with open(path, "rb") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary = file["model"]["vocab"]
         # the file writes bytes as printable characters
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         back = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         ranks = {bytes(back[c] for c in token): i for token, i in vocabulary.items() if all(c in back for c in token)}
-        ranks.pop(b"<|endoftext|>", None)  # a special token; its string in a text is ordinary text
+        #: The file's added tokens: their strings in a text are these ids, as in the library's default.
+        self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        for token in self.added:
+            ranks.pop(token.encode(), None)
         self.encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.units: dict[str, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
+        if self.cuts and any(t in text for t in self.added):
+            return np.concatenate([np.array([self.added[x]], np.uint32) if x in self.added else self._plain(x) for x in self.cuts.split(text)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
         units, memo = text.split(" "), self.units
