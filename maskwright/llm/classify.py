@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import bounds, cut_lineage, words
-from .quality import CLASSES, _base_counts, _class_counts, _slices
+from ._common import bounds, cut_lineage, slices
+from .quality import CLASSES, _base_counts, _class_counts
 
 FEATURES = ("words", "chars", "word_length", *(f"share_{c}" for c in CLASSES), "repeat_words", "dup_lines", "distinct_words", "line_words", "bars", "bangs", "caps_words", "longest_word")
 
@@ -73,7 +73,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def document_statistics(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in _slices(batch, text):
+            for part, data, offsets in slices(batch, text):
                 x = statistics(data, offsets)
                 yield pa.RecordBatch.from_arrays([part[doc_id], pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES)).cast(pa.list_(pa.float64()))], names=[doc_id, "x"])
 
