@@ -48,7 +48,7 @@ def test_small_languages_are_judged(spark):
     rows += [(1000 + i, " ".join(f"b{rng.randrange(3000)}" if j % 2 else ["ok", "es", "az"][j // 2 % 3] for j in range(100)), "xx") for i in range(20)]
     rows += [(2000, " ".join(f"{i}###%%%$$" for i in range(60)), "xx"), (2001, None, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
-    one, many = ({r.doc_id: r for r in quality_rules(frame, rule=rule).collect()} for rule in (Divergence(), Divergence(language_share=1)))
+    one, many = ({r.doc_id: r for r in quality_rules(frame, rule=rule).collect()} for rule in (Divergence(), Divergence(languages_at_once=1)))
     assert one == many and len(one) == len(rows)
     assert not one[2000].base_failed and not one[2000].kept and one[2000].class_distance > 0.3
     assert all(one[1000 + i].kept for i in range(20))
