@@ -45,7 +45,7 @@ class Leak:
     bits: int = 3
     samples: int = 32
     #: Share of edited copies of the pieces that the samples must find, and walks at most.
-    recall: float = 0.99
+    recall: float = 0.995
     most_walks: int = 32
     #: Edited copies of each kind that the number of walks is chosen on, for pieces whose lengths agree but for `band` words.
     trials: int = 400
@@ -68,23 +68,22 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
 
 def _worded(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Stretches of a batch, with row and hash of each word."""
-    for own, _, _ in slices(batch, text):
+    for own, _, _ in slices(batch, text, 1 << 22):
         data, offsets = text_buffer(pc.utf8_lower(own[text]))
         _, _, row, h = words(data, offsets, VALUES, BETWEEN)
         yield own, row, h
 
 
-def walks(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int, steps: int) -> np.ndarray:
-    """CGK embeddings of the sequences flat[begin : begin + size] by the walk of a seed: the word read at each step, 0 after the end. sequences x steps."""
-    at, end = begin.copy(), begin + size
-    flat = np.r_[flat, U64(0)]
-    out = np.zeros((len(begin), steps), U64)
-    rolls = fmix(U64(seed) * U64(100_003) + np.arange(1, steps + 1, dtype=U64))
+def walks(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
+    """CGK embeddings of the sequences flat[begin : begin + size] by the walk of each seed: the word read at each step, 0 after the end. flat ends with a 0. sequences x seeds x steps."""
+    at, end, last = np.repeat(begin[:, None], len(seeds), axis=1), (begin + size)[:, None], len(flat) - 1
+    out = np.zeros((len(begin), len(seeds), steps), U64)
+    rolls = fmix(seeds.astype(U64)[None, :] * U64(100_003) + np.arange(1, steps + 1, dtype=U64)[:, None])
     for j in range(steps):
         inside = at < end
-        word = np.where(inside, flat[np.where(inside, at, len(flat) - 1)], U64(0))
-        out[:, j] = word
-        at += (fmix(word ^ rolls[j]) & U64(1)).astype(np.int64) & inside
+        word = flat[np.where(inside, at, last)]
+        out[:, :, j] = word
+        at += (fmix(word ^ rolls[j][None, :]) & U64(1)).astype(np.int64) & inside
     return out
 
 
@@ -94,19 +93,20 @@ def samples(seed: int, n: int, rule: Leak) -> np.ndarray:
     return rng.integers(0, max(2 * n, 1), (rule.samples, rule.bits))
 
 
-def signatures(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, n: int, seed: int, rule: Leak) -> np.ndarray:
-    """Hash of each sample of a walk, for windows of n words: sequences x samples."""
-    at = samples(seed, n, rule)
-    embedded = walks(flat, begin, size, seed, int(at.max(initial=0)) + 1)
-    out = np.zeros((len(begin), rule.samples), U64)
+def signatures(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, n: int, seeds: np.ndarray, rule: Leak) -> np.ndarray:
+    """Hash of each sample of each walk, for windows of n words: sequences x seeds x samples."""
+    at = np.stack([samples(int(seed), n, rule) for seed in seeds])
+    embedded = walks(flat, begin, size, seeds, int(at.max(initial=0)) + 1)
+    out = np.zeros((len(begin), len(seeds), rule.samples), U64)
+    each = np.arange(len(seeds))[:, None]
     for j in range(rule.bits):
-        out = fmix(out * U64(0x9E3779B97F4A7C15) + embedded[:, at[:, j]])
-    return fmix(out + np.arange(rule.samples, dtype=U64)[None, :])
+        out = fmix(out * U64(0x9E3779B97F4A7C15) + embedded[:, each, at[:, :, j]])
+    return fmix(out + (seeds.astype(U64)[:, None] * U64(rule.samples) + np.arange(rule.samples, dtype=U64))[None])
 
 
 def _flat(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.array([len(s) for s in seqs], np.int64)
-    return np.concatenate([*seqs, np.zeros(0, U64)]), np.cumsum(size) - size, size
+    return np.concatenate([*seqs, np.zeros(1, U64)]), np.cumsum(size) - size, size
 
 
 def within(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -206,12 +206,13 @@ class Index:
         for band in np.unique(self.length // rule.band):
             own = np.flatnonzero(self.length // rule.band == band)
             self.walks[own] = self._walks_for_recall(own)
-        #: Length of pieces -> the buckets of each walk.
-        self.buckets: dict[int, list[Table]] = {}
+        #: Length of pieces -> the buckets of all their walks; none where the exact way is taken.
+        self.buckets: dict[int, Table] = {}
         for n in np.unique(self.length):
             own = np.flatnonzero(self.length == n)
-            flat = _flat([self.words[i] for i in own])
-            self.buckets[int(n)] = [Table(signatures(*flat, int(n), seed, rule).ravel(), np.repeat(own.astype(np.int32), rule.samples)) for seed in range(self.walks[own[0]])]
+            if many := int(self.walks[own[0]]):
+                signed = signatures(*_flat([self.words[i] for i in own]), int(n), np.arange(many), rule)
+                self.buckets[int(n)] = Table(signed.ravel(), np.repeat(own.astype(np.int32), many * rule.samples))
 
     def _walks_for_recall(self, which: np.ndarray) -> int:
         """The number of walks at which copies of these pieces, with as many edits of one kind as are allowed, are found; 0 if it isn't reached."""
@@ -240,8 +241,8 @@ class Index:
             found = np.zeros(len(missed), bool)
             for n in np.unique(self.length[pick[missed]]):
                 at = np.flatnonzero(self.length[pick[missed]] == n)
-                theirs, own = (signatures(*_flat([x[i] for i in y]), int(n), walk, self.rule) for x, y in ((seqs, missed[at]), (self.words, pick[missed[at]])))
-                found[at] = (theirs == own).any(axis=1)
+                theirs, own = (signatures(*_flat([x[i] for i in y]), int(n), np.array([walk]), self.rule) for x, y in ((seqs, missed[at]), (self.words, pick[missed[at]])))
+                found[at] = (theirs == own).any(axis=(1, 2))
             missed = missed[~found]
             if len(missed) <= (1 - self.rule.recall) * len(seqs):
                 return walk + 1
@@ -260,7 +261,7 @@ class Index:
         """Row, piece and window start of those pairs of a window and a piece that share a bucket; hits place the windows."""
         for n in np.unique(self.length[piece]):
             own = np.flatnonzero(self.length[piece] == n)
-            if not self.buckets[int(n)]:
+            if int(n) not in self.buckets:
                 yield r[own], piece[own], start[own]
                 continue
             window, which = np.unique(_packed(r[own], np.zeros(len(own), np.int64), start[own]), return_inverse=True)
@@ -269,13 +270,14 @@ class Index:
             a = np.clip(first, begin[in_row], begin[in_row + 1])
             size = np.maximum(np.minimum(first + n, begin[in_row + 1]) - a, 0)
             found = []
-            for seed, table in enumerate(self.buckets[int(n)]):
-                step = BLOCK // self.rule.samples
-                for lo in range(0, len(a), step):
-                    for at, other in table.matches(signatures(h, a[lo : lo + step], size[lo : lo + step], int(n), seed, self.rule).ravel(), few=True):
-                        pair = np.unique((at // self.rule.samples + lo) * len(self.item) + other)
-                        place = np.minimum(np.searchsorted(told, pair), len(told) - 1)
-                        found.append(pair[told[place] == pair])
+            many = int(self.walks[piece[own[0]]])
+            step = max(1, BLOCK // (self.rule.samples * many))
+            for lo in range(0, len(a), step):
+                signed = signatures(h, a[lo : lo + step], size[lo : lo + step], int(n), np.arange(many), self.rule)
+                for at, other in self.buckets[int(n)].matches(signed.ravel(), few=True):
+                    pair = np.unique((at // (self.rule.samples * many) + lo) * len(self.item) + other)
+                    place = np.minimum(np.searchsorted(told, pair), len(told) - 1)
+                    found.append(pair[told[place] == pair])
             pair = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
             w, other = pair // len(self.item), pair % len(self.item)
             yield in_row[w], other, first[w]
@@ -284,10 +286,10 @@ class Index:
         """Best match of each row and item: row, item, edits, first word, end."""
         if not self.items or not len(h):
             return []
-        begin = bounds(row, n_rows)
+        begin, ended = bounds(row, n_rows), np.r_[h, U64(0)]
         found: list[np.ndarray] = []
         for hits in self.placed(h, row):
-            for r, piece, start in self.candidates(h, begin, *hits):
+            for r, piece, start in self.candidates(ended, begin, *hits):
                 found.append(np.unique(_packed(r, self.item[piece], start - self.first[piece])))
         rows, items, start = _unpacked(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64))
         most = 2 * self.most[items]

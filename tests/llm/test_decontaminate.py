@@ -82,7 +82,7 @@ def test_buckets_find_the_candidates(spark):
     assert (index.walks > 0).all()
     h = np.concatenate([w for _, w in items])
     assert {m[1] for m in index.search(h, np.zeros(len(h), np.int64), 1)} == set(range(20))
-    index.buckets = {n: [type(t)(t.key[:0], t.value[:0]) for t in tables] for n, tables in index.buckets.items()}
+    index.buckets = {n: type(t)(t.key[:0], t.value[:0]) for n, t in index.buckets.items()}
     assert index.search(h, np.zeros(len(h), np.int64), 1) == []
 
 
