@@ -75,12 +75,6 @@ def canonical(value: Column) -> Column:
     return F.regexp_replace(F.lower(value), "[^a-z0-9]", "")
 
 
-def separator_free_pattern(value: Column) -> Column:
-    """A pattern for a value whose runs of letters and digits may be joined by up to three other characters."""
-    runs = found(value, "[A-Za-z0-9]+")
-    return F.concat(F.lit("(?i)(?<![A-Za-z0-9])"), F.array_join(runs, "[^A-Za-z0-9]{0,3}"), F.lit("(?![A-Za-z0-9])"))
-
-
 def is_searchable(value: Column, least: int = 5) -> Column:
     return F.length(F.regexp_replace(value, "[^A-Za-z0-9]", "")) >= least
 
@@ -108,9 +102,28 @@ def script_counts(text: Column) -> dict[str, Column]:
     return {name: F.regexp_count(text, F.lit(f"[\\x{{{lo:X}}}-\\x{{{hi:X}}}]")) for name, lo, hi in P.SCRIPTS}
 
 
-def scripts_in(word: Column) -> Column:
-    """Number of scripts that a word has characters of."""
-    return reduce(lambda a, b: a + b, ((c > 0).cast("int") for c in script_counts(word).values()))
+#: A character of private use stands for each script where texts are counted.
+_MARKS = [chr(0xE000 + i) for i in range(len(P.SCRIPTS))]
+_ANY_MARK = f"{_MARKS[0]}-{_MARKS[-1]}"
+#: A word with marks of two scripts or more.
+_MIXED = rf"(?<!\S)[^\s{_ANY_MARK}]*([{_ANY_MARK}])(?:\1|[^\s{_ANY_MARK}])*(?!\1)[{_ANY_MARK}]\S*"
+
+
+def script_marks(text: Column) -> Column:
+    """The text with each character of a script as the script's mark: one pass, after which scripts are counted and words judged without looking at ranges again."""
+    every = "".join(chr(c) for _, lo, hi in P.SCRIPTS for c in range(lo, hi + 1))
+    marks = "".join(m * (hi - lo + 1) for m, (_, lo, hi) in zip(_MARKS, P.SCRIPTS, strict=True))
+    return F.translate(F.regexp_replace(text, r"\p{Co}", ""), every, marks)
+
+
+def mark_counts(marks: Column) -> dict[str, Column]:
+    """Characters of each script in a marked text."""
+    return {name: F.length(marks) - F.length(F.replace(marks, F.lit(m), F.lit(""))) for m, (name, _, _) in zip(_MARKS, P.SCRIPTS, strict=True)}
+
+
+def mixed_words(marks: Column) -> Column:
+    """Words of a marked text that have characters of several scripts."""
+    return F.regexp_count(marks, F.lit(_MIXED))
 
 
 def invalid_characters(text: Column) -> Column:
@@ -119,7 +132,7 @@ def invalid_characters(text: Column) -> Column:
 
 
 def clean_word(word: Column) -> Column:
-    """Edges without punctuation, lower case. Compatibility forms are folded beforehand, where a source has them, by functions.unicode.nfkc."""
+    """Edges without punctuation, lower case. Compatibility forms are folded before, by functions.unicode.nfkc."""
     return F.lower(F.regexp_replace(F.trim(word), r"""^[.,!?;:"'()\[\]।॥]+|[.,!?;:"'()\[\]।॥]+$""", ""))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import ahocorasick
@@ -26,33 +25,59 @@ def gate(name: str, df: DataFrame, violation: Column) -> DataFrame:
     return counted.select(F.lit(name).alias("gate"), "checked", "violations", verdict(F.col("checked"), F.col("violations")).alias("verdict"))
 
 
-def needle_hits(texts: DataFrame, doc: str, text: str, needles: DataFrame, value: str, anchored: bool = True, least: int = 5, at_once: int = 20_000) -> DataFrame:
-    """Documents in which a needle survives: value, doc.
+def counted(name: str, counts: DataFrame) -> DataFrame:
+    """One row: gate, checked, violations, verdict; from a row of the two counts."""
+    return counts.select(F.lit(name).alias("gate"), F.col("checked").cast("long").alias("checked"), F.col("violations").cast("long").alias("violations"), verdict(F.col("checked"), F.col("violations")).alias("verdict"))
 
-    One automaton of the needles' letters and digits reads each text once, where it stands, so nothing is shuffled and no pairs are made;
-    needles come in passes of `at_once`, so what tasks hold is bounded. Loose search ignores all but letters and digits; anchored search then asks that a hit
-    begins and ends at other characters and has at most three of them between its runs. Needles with fewer than `least` letters and digits aren't searched.
+
+def unproven(df: DataFrame, name: str) -> DataFrame:
+    """The row of a gate that couldn't be run, beside a row of df."""
+    return counted(name, df.agg(F.lit(0).alias("checked"), F.lit(0).alias("violations")))
+
+
+def examples(violations: DataFrame, order: list[str], most: int = 10) -> DataFrame:
+    """The first violations, for a report."""
+    return violations.orderBy(*order).limit(most)
+
+
+def needle_hits(texts: DataFrame, doc: str, text: str, needles: DataFrame, value: str, mode: str = "anchored", least: int = 5, at_once: int = 20_000) -> DataFrame:
+    """Documents in which a needle survives: value, doc, context (of the first hit, 40 characters on each side; null in loose and upper mode).
+
+    One automaton of the needles reads each text once, where it stands, so nothing is shuffled and no pairs are made;
+    needles come in passes of `at_once`, which are broadcast, so what tasks hold is bounded. Loose search ignores all but letters and digits; anchored search then asks that a hit
+    begins and ends at other characters and has at most three of them between its runs; upper search looks for the string itself in any case of letters. Needles with fewer
+    than `least` letters and digits aren't searched.
     """
-    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("doc", texts.schema[doc].dataType)])
-    out = texts.sparkSession.createDataFrame([], schema)
+    fold = str.upper if mode == "upper" else _canonical
+    spark = texts.sparkSession
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("doc", texts.schema[doc].dataType), T.StructField("context", T.StringType())])
+    out = spark.createDataFrame([], schema)
     listed = needles.select(F.col(value).cast("string").alias("v")).filter(detect.is_searchable(F.col("v"), least)).distinct().orderBy("v").toLocalIterator()
     while part := [r.v for r in islice(listed, at_once)]:
-
-        def search(batches: Iterator[pa.RecordBatch], part: list[str] = part) -> Iterator[pa.RecordBatch]:
-            automaton, values = ahocorasick.Automaton(), {}
-            for v in part:
-                values.setdefault(_canonical(v), []).append(v)
-            for canon, own in values.items():
-                automaton.add_word(canon, own)
+        shared = spark.sparkContext.broadcast(part)
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton, values, patterns = ahocorasick.Automaton(), {}, {}
+            for v in shared.value:
+                values.setdefault(fold(v), []).append(v)
+            for key, own in values.items():
+                automaton.add_word(key, own)
             automaton.make_automaton()
             for batch in batches:
-                hits, at = [], []
+                hits, at, contexts = [], [], []
                 for i, t in enumerate(batch[text].to_pylist()):
-                    for v in dict.fromkeys(v for _, own in automaton.iter(_canonical(t or "")) for v in own):
-                        if not anchored or _anchored(v).search(t):
-                            hits.append(v)
-                            at.append(i)
-                yield pa.RecordBatch.from_arrays([pa.array(hits, pa.string()), batch[doc].take(pa.array(at, pa.int64()))], names=["value", "doc"])
+                    for v in dict.fromkeys(v for _, own in automaton.iter(fold(t or "")) for v in own):
+                        context = None
+                        if mode == "anchored":
+                            if v not in patterns:
+                                patterns[v] = _anchored(v)
+                            if not (m := patterns[v].search(t)):
+                                continue
+                            context = t[max(0, m.start() - 40) : m.end() + 40].replace("\n", " ")
+                        hits.append(v)
+                        at.append(i)
+                        contexts.append(context)
+                yield pa.RecordBatch.from_arrays([pa.array(hits, pa.string()), batch[doc].take(pa.array(at, pa.int64())), pa.array(contexts, pa.string())], names=["value", "doc", "context"])
 
         out = out.union(texts.select(doc, text).mapInArrow(search, schema))
     return out
@@ -62,11 +87,56 @@ def _canonical(value: str) -> str:
     return re.sub("[^a-z0-9]", "", value.lower())
 
 
-@lru_cache(4096)
 def _anchored(value: str) -> re.Pattern:
     return re.compile("(?i)(?<![A-Za-z0-9])" + "[^A-Za-z0-9]{0,3}".join(re.findall("[A-Za-z0-9]+", value)) + "(?![A-Za-z0-9])")
 
 
+def search_report(hits: DataFrame) -> DataFrame:
+    """value, files, first, context: each value that is still there, in how many files, and the first with what stands around it."""
+    return hits.groupBy("value").agg(F.count_distinct("doc").alias("files"), F.min("doc").alias("first"), F.min_by("context", F.struct("doc", "context")).alias("context"))
+
+
+def with_paths(texts: DataFrame, path: str, text: str) -> DataFrame:
+    """texts and, as further rows, their paths, which are searched like texts."""
+    return texts.select(F.col(path).alias("path"), F.col(text).alias("text")).union(texts.select(F.col(path), F.col(path)))
+
+
+def output_gate(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    return counted("output search", texts.agg(F.count(F.lit(1)).alias("checked")).crossJoin(hits.agg(F.count_distinct("value").alias("violations"))))  # one row each
+
+
+def image_gate(read: DataFrame, needles: DataFrame, value: str) -> DataFrame:
+    """Verdicts on texts that were read in images (image, text, photo): identifiers in screenshots; photographs, which no reader can vouch for, are never proven."""
+    shots = read.filter("not photo")
+    hits = needle_hits(shots, "image", "text", needles, value, mode="loose")
+    found = shots.agg(F.count(F.lit(1)).alias("checked")).crossJoin(hits.agg(F.count_distinct("doc").alias("violations")))
+    return counted("screenshots", found).union(unproven(read, "photographs"))
+
+
+def clone_gate(repos: DataFrame) -> DataFrame:
+    """repos: repo, refs, commits. A clone without either is incomplete."""
+    return gate("clones", repos, (F.col("refs") == 0) | (F.col("commits") == 0))
+
+
+def package_status(repos: DataFrame) -> DataFrame:
+    """repos (repo, residual, remotes, commits, authors) with their status: what must be looked at before it leaves."""
+    bad = (F.col("residual") != 0) | (F.col("remotes") != 0) | (F.col("commits") == 0)
+    return repos.withColumn("status", F.when(F.coalesce(bad, F.lit(True)), "REVIEW").otherwise("OK"))
+
+
+def findings_gate(name: str, scanned: DataFrame, findings: DataFrame) -> DataFrame:
+    """Fails on any finding (with a count n); nothing scanned proves nothing."""
+    total = findings.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+    return counted(name, scanned.agg(F.count(F.lit(1)).alias("checked")).crossJoin(total))  # one row each
+
+
+def delivery_gates(names: DataFrame, texts: DataFrame, counts: DataFrame, paths: DataFrame, syntax: DataFrame | None = None) -> DataFrame:
+    """The four axes of a delivery: names in texts (n), commit counts (status), names in paths (n), and syntax (violation), which stays unproven without a parser's results."""
+    same = gate("integrity", counts, F.col("status") != "equal")
+    parsed = gate("syntax", syntax, F.col("violation")) if syntax is not None else unproven(texts, "syntax")
+    return findings_gate("names", texts, names).union(same).union(parsed).union(findings_gate("paths", texts, paths))
+
+
 def commit_counts(source: DataFrame, delivered: DataFrame) -> DataFrame:
     """Repositories whose counts (repo, commits) differ, or that one side lacks."""
     both = source.withColumnRenamed("commits", "source_commits").join(delivered.withColumnRenamed("commits", "delivered_commits"), "repo", "full")

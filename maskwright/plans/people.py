@@ -76,18 +76,11 @@ def name_tokens(spark, sf_dir):
 
 #: Words of the fixtures' prose that serve as names, and their merged rule.
 _FULL, _TOKENS = ["the of"], ["Then", "tion", "EREN"]
-_RULE = r"(?i)\b(?:the of|EREN|Then|tion)\b"
 
 
-@query(f"SELECT doc_id, md5(regexp_replace(text, '{_RULE}', 'Contributor', 'g')) AS redacted FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7F]*')".replace("\\\\", "\\"))
+@query(r"SELECT doc_id, md5(replace(regexp_replace(regexp_replace(text, '([^A-Za-z0-9_])', chr(1) || '\1' || chr(1), 'g'), '(^|\x01)(?i:the\x01 \x01of|EREN|Then|tion)(\x01|$)', '\1Contributor\2', 'g'), chr(1), '')) AS redacted FROM documents")
 def name_rule_redact(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
-    return docs.select("doc_id", F.md5(F.regexp_replace("text", redact.merged_name_pattern(_FULL, _TOKENS), "Contributor").cast("binary")).alias("redacted"))
-
-
-@query()
-def name_rule_redact_all(spark, sf_dir):
-    """The rule over all documents. Boundaries are those of bytes, as in the reference; the SQL engine's can't be held against them beyond ASCII."""
+    """Boundaries are those of bytes; the SQL marks both sides of each character that is none of a word, so that neighbouring names don't share a mark."""
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.regexp_replace("text", redact.merged_name_pattern(_FULL, _TOKENS), "Contributor").cast("binary")).alias("redacted"))
 
 
@@ -145,21 +138,15 @@ def rule_merge_dedup(spark, sf_dir):
 
 
 def _variant_sql(pad: int) -> str:
-    cut = f"substr(to_base64(concat(repeat(chr(0), {pad}), secret)::BLOB), {[1, 3, 4][pad]})"
+    zeros = "\\x00" * pad
+    cut = f"substr(to_base64('{zeros}'::BLOB || encode(secret)), {[1, 3, 4][pad]})"
     return f"CASE WHEN length({cut}) > 8 THEN substr({cut}, 1, length({cut}) - CASE WHEN length({cut}) % 4 = 0 THEN 4 ELSE length({cut}) % 4 END) ELSE {cut} END"
 
 
 
-@query(f"SELECT o_orderkey, unnest(list_filter([{_variant_sql(0)}], lambda v: length(v) >= 16)) AS variant FROM ({_SECRETS}) WHERE NOT {_false_sql(P.FALSE_SECRET_PARTS_B64)}")
+@query(f"SELECT o_orderkey, unnest(list_filter([{', '.join(map(_variant_sql, range(3)))}], lambda v: length(v) >= 16)) AS variant FROM ({_SECRETS}) WHERE NOT {_false_sql(P.FALSE_SECRET_PARTS_B64)}")
 def b64_variants(spark, sf_dir):
-    """The variant of the first alignment; those of the others begin with zero bytes, which the SQL engine's strings can't hold, and are tested against Python."""
-    real = _secrets(spark, sf_dir).filter(~detect.is_false_secret(F.col("secret"), P.FALSE_SECRET_PARTS_B64))
-    return real.select("o_orderkey", redact.base64_variant(F.col("secret"), 0).alias("variant")).filter("variant is not null")
-
-
-@query()
-def b64_variants_all(spark, sf_dir):
-    """The variants at all alignments."""
+    """What secrets look like inside base64 at all alignments."""
     real = _secrets(spark, sf_dir).filter(~detect.is_false_secret(F.col("secret"), P.FALSE_SECRET_PARTS_B64))
     return real.select("o_orderkey", F.explode(redact.base64_variants(F.col("secret"))).alias("variant"))
 
