@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import delivery, people, speech, text  # noqa: F401  they register their queries
+from .plans import checks, delivery, people, speech, text  # noqa: F401  they register their queries
 from .plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -5,11 +5,17 @@ from __future__ import annotations
 import hashlib
 import json
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import detect, patterns as P
+from . import gates
+from .ranking import numbered
+
 
 def projected(df: DataFrame, header: list[str]) -> DataFrame:
     """The columns of an earlier delivery in their order; those that df lacks are empty strings."""
@@ -59,9 +65,52 @@ def first_by_basename(files: DataFrame, path: str) -> DataFrame:
 
 
 def pages_of(df: DataFrame, group: str, order: str, each: int = 12) -> DataFrame:
-    """df with the number of its contact sheet in each group, and the place on it."""
-    row = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("_r", row).withColumn("sheet", (F.floor((F.col("_r") - 1) / each) + 1).cast("long")).withColumn("place", F.pmod(F.col("_r") - 1, F.lit(each)).cast("long")).drop("_r")
+    """df with the number of its contact sheet in each group, and the place on it. Rows are numbered over all groups at once, so a large group is no one task's work."""
+    dense = numbered(df, [group, order], "_n")
+    first = dense.groupBy(group).agg(F.min("_n").alias("_first"))
+    row = F.col("_n") - F.col("_first")
+    placed = dense.join(first, dense[group].eqNullSafe(first[group])).drop(first[group])
+    return placed.withColumn("sheet", (F.floor(row / each) + 1).cast("long")).withColumn("place", F.pmod(row, F.lit(each)).cast("long")).drop("_n", "_first")
+
+
+def with_masked_images(entries: DataFrame, masked: DataFrame) -> DataFrame:
+    """Entries of archives (archive, ordinal, entry, content) with each image's content from the masked images (path, content) of the same base name, the first by path.
+
+    Adds status: swapped, missing (an image without a masked version, which must not be delivered) or kept (no image).
+    """
+    name = F.substring_index("path", "/", -1)
+    by_name = masked.groupBy(name.alias("_name")).agg(F.min_by("content", "path").alias("_masked"))
+    is_image = detect.one_of(detect.path_suffix(F.col("entry")), P.IMAGE_SUFFIXES)
+    joined = entries.withColumn("_image", is_image).withColumn("_key", F.when(is_image, F.substring_index("entry", "/", -1))).join(by_name, F.col("_key") == F.col("_name"), "left")
+    status = F.when(~F.col("_image"), "kept").when(F.col("_masked").isNull(), "missing").otherwise("swapped")
+    content = F.when(status == "swapped", F.col("_masked")).otherwise(F.col("content"))
+    return joined.select("archive", "ordinal", "entry", content.alias("content"), status.alias("status"))
+
+
+def still_original(entries: DataFrame, originals: DataFrame, content: str = "content") -> DataFrame:
+    """Entries whose bytes are those of an original file, by digest."""
+    digest = originals.select(F.md5(content).alias("_md5")).distinct()
+    return entries.withColumn("_md5", F.md5(content)).join(digest, "_md5", "left_semi").drop("_md5")
+
+
+def archive_gate(rebuilt: DataFrame, originals: DataFrame) -> DataFrame:
+    """Verdicts on rebuilt archives: images without a masked version, and entries that are still an original."""
+    same = still_original(rebuilt, originals)
+    n = rebuilt.agg(F.count(F.lit(1)).alias("checked"))
+    return gates.gate("masked images", rebuilt.filter("status <> 'kept'"), F.col("status") == "missing").union(gates.counted("identical entries", n.crossJoin(same.agg(F.count(F.lit(1)).alias("violations")))))  # one row each
+
+
+def manifest(commits: DataFrame, residual: DataFrame, remotes: DataFrame) -> DataFrame:
+    """repo, commits, authors, residual, remotes, status of commits (repo, author), names that are no label (repo, name) and remotes (repo)."""
+    by = lambda df, n: df.groupBy("repo").agg(n)
+    out = commits.groupBy("repo").agg(F.count(F.lit(1)).alias("commits"), F.count_distinct("author").alias("authors"))
+    out = out.join(by(residual, F.count_distinct("name").alias("residual")), "repo", "left").join(by(remotes, F.count(F.lit(1)).alias("remotes")), "repo", "left")
+    return gates.package_status(out.fillna(0, ["residual", "remotes"]))
+
+
+def masked_paths(texts: DataFrame, mask: Callable[[Column], Column]) -> DataFrame:
+    """Texts (path, text) with path and text masked alike; a path is the one below the delivery's folder."""
+    return texts.withColumn("path", mask(F.col("path"))).withColumn("text", mask(F.col("text")))
 
 
 @F.pandas_udf(T.StringType())

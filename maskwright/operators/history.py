@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import detect, patterns as P
+from ..functions.redact import java_literal, redact_literals
 
 UNREACHABLE = "<unreachable>"
 
@@ -21,6 +22,38 @@ def with_paths(objects: DataFrame, paths: DataFrame) -> DataFrame:
     return objects.join(one, ["repo", "sha"], "left").withColumn("path", F.coalesce("path", F.lit(UNREACHABLE)))
 
 
+def name_tokens(texts: DataFrame, text: str, tokens: list[str], *by: str) -> DataFrame:
+    """Occurrences of names in texts, by the columns of `by` and the token in lower case: token, n. A name counts wherever it stands, inside of words too; the first of the list that fits counts.
+
+    The list is part of the plan, as it is a client's list of names; an empty one finds nothing and must not pass for a check."""
+    if not tokens:
+        raise ValueError("no names to look for")
+    each = texts.select(*by, F.explode(detect.found(F.col(text), token_pattern(tokens))).alias("_m"))
+    return each.groupBy(*by, F.lower("_m").alias("token")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def token_pattern(tokens: list[str]) -> str:
+    return "(?iu)" + "|".join(java_literal(t) for t in tokens)
+
+
+def token_paths(files: DataFrame, tokens: list[str], group: str = "repo", most: int | None = None) -> DataFrame:
+    """Parts of paths that hold a name, outside of pruned folders: group, n; with `most` only the groups with most of them. files: group, path. A folder counts once however many files it holds."""
+    parts = F.split("path", "/")
+    upto = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    places = files.select(group, F.explode(upto).alias("_place")).distinct()
+    names = F.split("_place", "/")
+    pruned = F.exists(names, lambda n: detect.one_of(n, P.PRUNED_FOLDERS))
+    hit = F.element_at(names, -1).rlike(token_pattern(tokens))
+    out = places.filter(hit & ~pruned).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    return out.orderBy(F.desc("n"), group).limit(most) if most else out
+
+
+def rewritten_messages(commits: DataFrame, message: str, names: str | None, label: str, literals: list[tuple[str, str]] = ()) -> DataFrame:
+    """Commit messages with literals and then names replaced. Each commit stays a row, so counts and the graph are as they were."""
+    out = redact_literals(F.col(message), list(literals))
+    return commits.withColumn(message, F.regexp_replace(out, names, label) if names else out)
+
+
 def class_counts(text: Column, path: Column, binary: Column | None = None) -> dict[str, Column]:
     """Hits of each class of finding. Text classes count in text, path classes of machine traces in binary content."""
     emails, phones = detect.found(text, P.EMAIL), detect.found(text, P.PHONE)

@@ -43,6 +43,17 @@ def residual(names: DataFrame, column: str = "name") -> DataFrame:
     return names.select(column).distinct().filter((F.col(column) != "") & ~F.col(column).rlike(LABEL))
 
 
+def name_rule(parts: DataFrame, extra: list[str] = (), exclude: list[str] = ()) -> tuple[list[str], list[str]]:
+    """Full names and tokens of a merged rule, from name_parts. Further names are taken as they are, whatever their length; excluded ones are dropped from the tokens alone.
+
+    The names come to the driver, as the rule is one pattern: they are the people of a delivery, not its rows."""
+    full = {r.name for r in parts.filter("is_full").select("name").distinct().toLocalIterator()} | {x for x in extra if " " in x}
+    tokens = {r.t for r in parts.select(F.explode("tokens").alias("t")).distinct().toLocalIterator()} | {x for x in extra if " " not in x}
+    drop = {x.lower() for x in exclude}
+    order = lambda names: sorted(names, key=lambda n: (-len(n), n))
+    return order(full), order(t for t in tokens if t.lower() not in drop)
+
+
 def name_parts(ids: DataFrame, least: int = 4) -> DataFrame:
     """Name of each identity, whether it is a full name, and the tokens that stand for it: its first and last long alphabetic parts, if it has two."""
     name = F.trim(F.regexp_replace(F.trim("identity"), r"^(.*?)\s*<.*$", "$1"))

@@ -5,13 +5,55 @@ elements: file, patient, path, keyword, vr, grp (group number), value.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import patterns as P
+from .gates import needle_hits
 from .ranking import numbered
 
 
+ELEMENT = T.StructType([T.StructField(c, T.IntegerType() if c == "grp" else T.StringType()) for c in ("path", "keyword", "vr", "grp", "value")])
+
+
+@F.pandas_udf(T.ArrayType(ELEMENT))
+def _flat(content: pd.Series) -> pd.Series:
+    def one(text: str | None) -> list[dict] | None:
+        try:
+            whole = json.loads(text)
+        except (TypeError, ValueError):
+            return None
+        if not isinstance(whole, dict):
+            return None
+        out, open_ = [], [("", whole)]
+        while open_:
+            above, record = open_.pop()
+            for tag, e in record.items():
+                if not isinstance(e, dict) or not (len(tag) == 8 and all(c in "0123456789abcdefABCDEF" for c in tag)):
+                    continue
+                keyword, values = e.get("keyword") or tag, e.get("Value") or []
+                path = above + keyword
+                if e.get("vr") == "SQ":
+                    open_ += [(f"{path}/{i}/", item) for i, item in enumerate(values) if isinstance(item, dict)]
+                    continue
+                plain = [v.get("Alphabetic", "") if isinstance(v, dict) else str(v) for v in values]
+                out.append({"path": path, "keyword": keyword, "vr": e.get("vr"), "grp": int(tag[:4], 16), "value": "\\".join(plain)})
+        return out
+
+    return content.map(one)
+
+
+def flattened(records: DataFrame, content: str, *keep: str) -> DataFrame:
+    """Rows of elements from records in the JSON model of the DICOM standard (tag -> vr, Value, and a keyword), with the columns of `keep`. Items of sequences, however
+    deep, get their place in the path; several values are joined by a backslash; what is no record gives no rows. Elements of OriginalAttributesSequence are left out, as they repeat what was there before."""
+    flat = records.select(*keep, F.inline(_flat(content)))
+    return flat.filter(~F.col("path").rlike("(^|/)OriginalAttributesSequence/"))
+
+
 def blanked(elements: DataFrame, device_texts: list[str] = ()) -> DataFrame:
     """Identifying elements, and free texts that name a device, become empty."""
     device = F.lit(False)
@@ -50,6 +92,13 @@ def uid(old: Column, secret: str) -> Column:
     return F.concat(F.lit("2.25.1"), number(1), number(9), number(17))
 
 
+def remapped(elements: DataFrame, secret: str) -> DataFrame:
+    """Elements with all UIDs, at any depth, mapped by `uid`, each of several values by itself; those that name a class or a syntax stay."""
+    each = F.array_join(F.transform(F.split("value", r"\\"), lambda v: F.when(v == "", "").otherwise(uid(v, secret))), "\\")
+    mapped = (F.col("vr") == "UI") & (F.col("value") != "") & ~F.col("keyword").isin(*P.EXEMPT_UIDS)
+    return elements.withColumn("value", F.when(mapped, each).otherwise(F.col("value")))
+
+
 def dangling(references: DataFrame, defined: DataFrame) -> DataFrame:
     """references (uid) that nothing defines: (total, dangling) in one row."""
     marked = references.select("uid").join(defined.select("uid").distinct().withColumn("_there", F.lit(1)), "uid", "left")
@@ -57,9 +106,9 @@ def dangling(references: DataFrame, defined: DataFrame) -> DataFrame:
 
 
 def stamped(elements: DataFrame, key: DataFrame) -> DataFrame:
-    """Names and ids of patients become their pseudonym, dates are shifted, private elements go."""
+    """Names and ids of patients become their pseudonym, dates are shifted, private elements go. key: patient, pseudo_id, shift_days; a patient without a key gets empty names and dates."""
     out = without_private(elements).join(key, "patient", "left")
-    value = F.when(F.col("keyword").isin("PatientName", "PatientID"), F.col("pseudo_id")).when(F.col("vr").isin("DA", "DT"), shifted_date(F.col("value"), F.col("shift_days"))).otherwise(F.col("value"))
+    value = F.when(F.col("path").isin("PatientName", "PatientID"), F.coalesce("pseudo_id", F.lit(""))).when(F.col("vr").isin("DA", "DT"), F.coalesce(shifted_date(F.col("value"), F.col("shift_days")), F.lit(""))).otherwise(F.col("value"))
     return out.withColumn("value", value).drop("pseudo_id", "shift_days")
 
 
@@ -71,3 +120,63 @@ def clusters(rows: DataFrame, group: str, at: str, gap: int = 40) -> DataFrame:
     new = rows.withColumn("_new", F.when(F.col(at) - F.lag(at).over(order) <= gap, 0).otherwise(1))
     marked = new.withColumn("cluster", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(group, "cluster").agg(F.floor((F.min(at) + F.max(at)) / 2).cast("long").alias("centre"), F.count(F.lit(1)).alias("n"))
+
+
+#: What every finished file says of itself: keyword, vr, group, value.
+FLAGS = (("PatientIdentityRemoved", "CS", 0x12, "YES"), ("DeidentificationMethod", "LO", 0x12, P.DEIDENTIFICATION_METHOD))
+
+
+def deidentified(elements: DataFrame, key: DataFrame, secret: str, device_texts: list[str] = ()) -> DataFrame:
+    """Elements (file, patient, path, keyword, vr, grp, value) of finished files: private ones gone, identifying ones empty at any depth, UIDs mapped, dates shifted, pseudonyms and flags set."""
+    named = ~F.col("path").isin(*(f[0] for f in FLAGS))
+    out = stamped(remapped(blanked(elements.filter(named), device_texts), secret), key)
+    flag = F.array(*(F.struct(F.lit(k).alias("path"), F.lit(k).alias("keyword"), F.lit(vr).alias("vr"), F.lit(grp).alias("grp"), F.lit(value).alias("value")) for k, vr, grp, value in FLAGS))
+    flags = elements.select("file", "patient").distinct().select("file", "patient", F.inline(flag))
+    columns = ["file", "patient", "path", "keyword", "vr", "grp", "value"]
+    return out.select(*columns).union(flags.select(*columns))
+
+
+def delivered_path(file: Column, pseudo_id: Column) -> Column:
+    """Where a patient's file is written: below the pseudonym, with its path inside the patient's folder."""
+    return F.concat(pseudo_id, F.lit("/"), F.regexp_replace(file, "^[^/]*/", ""))
+
+
+def known_strings(elements: DataFrame, strings: DataFrame, value: str = "value") -> DataFrame:
+    """value, files: strings that must not be there and the number of files in which an element still holds them, in any case of letters."""
+    hits = needle_hits(elements, "file", "value", strings, value, mode="upper", least=1)
+    return hits.select("value", "doc").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("files"))
+
+
+def secondary_captures(elements: DataFrame) -> DataFrame:
+    """Files whose class says that their pixels are a capture of a screen or film."""
+    return elements.filter((F.col("path") == "SOPClassUID") & F.col("value").isin(*P.SECONDARY_CAPTURE)).select("file").distinct()
+
+
+def references(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """UIDs that elements refer to at any depth, and those that files define."""
+    uids = lambda keyword: elements.filter(F.col("keyword") == keyword).select(F.col("value").alias("uid"))
+    return uids("ReferencedSOPInstanceUID"), uids("SOPInstanceUID")
+
+
+def checks(before: DataFrame, after: DataFrame, strings: DataFrame, read_texts: DataFrame | None = None) -> DataFrame:
+    """The verdicts on finished files: known strings, references that must hold as they did, private elements, and known strings in what was read in their pictures (file, value)."""
+    from . import gates
+
+    n_files = after.select(F.countDistinct("file").alias("checked"))
+    hits = known_strings(after, strings).agg(F.count(F.lit(1)).alias("violations"))
+    counts = []
+    for side, df in (("b", before), ("a", after)):
+        counts.append(dangling(*references(df)).select(F.col("total").alias(f"{side}_total"), F.col("dangling").alias(f"{side}_dangling")))
+    both = counts[0].crossJoin(counts[1])  # one row each
+    links = both.select(F.greatest("a_total", "b_total").alias("checked"), ((F.col("a_total") != F.col("b_total")) | (F.col("a_dangling") != F.col("b_dangling"))).cast("long").alias("violations"))
+    private = n_files.crossJoin(private_elements(after).agg(F.countDistinct("file").alias("violations")))
+    rows = [gates.counted("known strings", n_files.crossJoin(hits)), gates.counted("references", links), gates.counted("private elements", private)]
+    if read_texts is None:
+        rows.append(gates.counted("pictures", n_files.select(F.lit(0).cast("long").alias("checked"), F.lit(0).cast("long").alias("violations"))))
+    else:
+        shown = known_strings(read_texts, strings).agg(F.count(F.lit(1)).alias("violations"))
+        rows.append(gates.counted("pictures", read_texts.agg(F.countDistinct("file").alias("checked")).crossJoin(shown)))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.union(r)
+    return out

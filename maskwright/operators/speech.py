@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import detect, patterns as P
+from ..functions.unicode import nfkc
 
 #: Schema of a transcript file.
 TRANSCRIPT = "file string, detected_language string, folder_language string, duration double, n_words long, segments array<struct<start: double, end: double, text: string, words: array<struct<w: string, s: double, e: double>>>>"
@@ -18,7 +19,7 @@ def segments(transcripts: DataFrame) -> DataFrame:
 def words(segs: DataFrame) -> DataFrame:
     """file, seg, text, pos, w, s, e, and the cleaned word c with its number weight n."""
     flat = segs.select("file", "seg", "text", F.posexplode("words").alias("pos", "_w")).select("file", "seg", "text", "pos", F.col("_w.w").alias("w"), F.col("_w.s").alias("s"), F.col("_w.e").alias("e"))
-    return flat.withColumn("c", detect.clean_word(F.col("w"))).withColumn("n", detect.number_weight(F.col("c")))
+    return flat.withColumn("c", detect.clean_word(nfkc("w"))).withColumn("n", detect.number_weight(F.col("c")))
 
 
 def runs(ws: DataFrame, member: Column) -> DataFrame:
@@ -36,10 +37,14 @@ def number_spans(ws: DataFrame) -> DataFrame:
     return found.filter((F.col("total") >= 4) | F.col("context").isNotNull()).select("file", "s", "e", reason.alias("reason"), "heard")
 
 
+def is_letter(c: Column) -> Column:
+    return c.rlike("^[a-z]$")
+
+
 def spelled_spans(ws: DataFrame) -> DataFrame:
     """Words spelled with hyphens, and runs of three single letters or more."""
     whole = ws.filter(detect.is_spelled(F.col("c"))).select("file", "s", "e", F.trim("w").alias("heard"))
-    letters = runs(ws, F.col("c").rlike("^[a-z]$")).filter("size >= 3").select("file", "s", "e", "heard")
+    letters = runs(ws, is_letter(F.col("c"))).filter("size >= 3").select("file", "s", "e", "heard")
     return whole.union(letters).select("file", "s", "e", F.lit("spelled out letter by letter").alias("reason"), "heard")
 
 
@@ -71,7 +76,13 @@ def answer_spans(segs: DataFrame, ws: DataFrame) -> DataFrame:
 
 
 def given_name_spans(ws: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Words of a list of given names (name, lower case); Spark broadcasts the list where its size allows."""
+    """Words of a list of given names (name, lower case) that stand outside of numbers and of what is spelled; Spark broadcasts the list where its size allows."""
+    by = Window.partitionBy("file", "seg").orderBy("pos")
+    single = is_letter(F.col("c"))
+    # a letter in a run of three or more: two more before, two more after, or one on either side
+    before, after = [F.coalesce(is_letter(F.lag("c", k).over(by)), F.lit(False)) for k in (1, 2)], [F.coalesce(is_letter(F.lead("c", k).over(by)), F.lit(False)) for k in (1, 2)]
+    spelled = single & (before[0] & before[1] | after[0] & after[1] | before[0] & after[0])
+    ws = ws.withColumn("_spelled", spelled | detect.is_spelled(F.col("c"))).filter(~F.col("_spelled") & (F.col("n") == 0))
     return ws.join(gazetteer.select(F.col("name").alias("c")), "c", "left_semi").select("file", "s", "e", F.lit("known given name").alias("reason"), F.trim("w").alias("heard"))
 
 
@@ -126,8 +137,9 @@ def neighbour_bounds(spans: DataFrame, ws: DataFrame, slack: float = 0.05) -> Da
 
 def quality(segs: DataFrame) -> DataFrame:
     """Script purity and what makes a transcript unfit, for each file; dead seconds are told but don't decide."""
-    counts = detect.script_counts(F.col("text"))
-    per_word = F.size(F.filter(F.split("text", r"\s+"), lambda w: detect.scripts_in(w) > 1))
+    segs = segs.withColumn("_marks", detect.script_marks(F.col("text")))
+    counts = detect.mark_counts(F.col("_marks"))
+    per_word = detect.mixed_words(F.col("_marks"))
     long_ = F.col("end") - F.col("start")
     spoken = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     dead = F.when((long_ > P.DEAD_SECONDS) & (spoken / (long_ / 60) < P.DEAD_WORDS_A_MINUTE), long_).otherwise(0.0)
@@ -148,3 +160,18 @@ def survivors(ws: DataFrame, gazetteer: DataFrame) -> DataFrame:
     numbers = token.filter(digits).select("file", "s", "w")
     spoken = runs(token, detect.one_of(F.col("c"), P.VERIFIER_NUMBER_WORDS)).filter("size >= 3").select("file", "s", F.col("heard").alias("w"))
     return names.union(numbers).distinct().withColumn("why", F.lit("name/digits")).union(spoken.withColumn("why", F.lit("spoken number")))
+
+
+def totals(spans: DataFrame, recordings: DataFrame) -> DataFrame:
+    """Spans, seconds and their share of the recording (file, duration), for each file and, with a null file, for all."""
+    own = spans.groupBy("file").agg(F.count(F.lit(1)).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("seconds"))
+    each = recordings.select("file", "duration").join(own, "file", "left").fillna(0, ["spans", "seconds"])
+    summed = each.rollup("file").agg(F.sum("spans").alias("spans"), F.sum("seconds").alias("seconds"), F.sum("duration").alias("_duration"))
+    return summed.select("file", "spans", "seconds", F.when(F.col("_duration") > 0, F.round(100 * F.col("seconds") / F.col("_duration"), 2)).otherwise(0.0).alias("percent"))
+
+
+def survivor_transcripts(segs: DataFrame, found: DataFrame) -> DataFrame:
+    """file, segments, survivors: what is written beside each finished recording. A file's segments are one row, as they are one file."""
+    of = lambda df, *columns: df.groupBy("file").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_l"))
+    told = of(found, "s", "w", "why").withColumnRenamed("_l", "survivors")
+    return of(segs, "seg", "text").withColumnRenamed("_l", "segments").join(told, "file", "left")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import media, patterns as P
-from ..operators import delivery, gates, ranking, records
+from ..functions import media, patterns as P, redact
+from ..operators import audio, delivery, gates, images, ranking, records
 from ..session import table
 from .registry import query
 
@@ -101,10 +101,9 @@ def image_basename_pick(spark, sf_dir):
 def entry_identical(spark, sf_dir):
     """Entries of a rebuilt archive whose digest is still that of an original; every fourth was left as it was."""
     pages = table(spark, sf_dir, "pages")
-    originals = pages.select(F.md5(F.col("html").cast("binary")).alias("md5")).distinct().withColumn("_same", F.lit(1))
-    rebuilt = pages.select(F.md5(F.when(F.col("page_id") % 4 == 0, F.col("html")).otherwise(F.concat("html", F.lit("masked"), F.col("page_id").cast("string"))).cast("binary")).alias("md5"))
-    marked = rebuilt.join(originals, "md5", "left")
-    return marked.agg(F.count(F.lit(1)).alias("entries"), F.count("_same").alias("identical"), F.count_if(F.col("_same").isNull()).alias("swapped"))
+    rebuilt = pages.select(F.when(F.col("page_id") % 4 == 0, F.col("html")).otherwise(F.concat("html", F.lit("masked"), F.col("page_id").cast("string"))).cast("binary").alias("content"))
+    same = delivery.still_original(rebuilt, pages.select(F.col("html").cast("binary").alias("content"))).agg(F.count(F.lit(1)).alias("identical"))
+    return rebuilt.agg(F.count(F.lit(1)).alias("entries")).crossJoin(same).withColumn("swapped", F.col("entries") - F.col("identical"))  # one row each
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, '' AS region, o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
@@ -112,16 +111,19 @@ def schema_projection(spark, sf_dir):
     return delivery.projected(table(spark, sf_dir, "orders"), ["o_orderkey", "region", "o_orderpriority", "o_custkey"])
 
 
-@query("SELECT 1::BIGINT AS o_orderstatus, 1::BIGINT AS o_orderpriority")
+@query("SELECT 1::BIGINT AS o_orderstatus, count(DISTINCT o_orderpriority) AS o_orderpriority FROM orders")
 def constant_columns(spark, sf_dir):
-    masked = delivery.constant(table(spark, sf_dir, "orders"), {"o_orderstatus": "A", "o_orderpriority": "lot 1"})
+    """One column was masked and one was forgotten."""
+    masked = delivery.constant(table(spark, sf_dir, "orders"), {"o_orderstatus": "A"})
     return delivery.not_constant(masked, ["o_orderstatus", "o_orderpriority"])
 
 
-@query("SELECT 0::BIGINT AS missing, 0::BIGINT AS extra, 0::BIGINT AS repeated, sum(o_custkey)::BIGINT AS whole_sum, sum(o_custkey)::BIGINT AS parts_sum FROM orders")
+@query("SELECT count_if(o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0)::BIGINT AS missing, count_if(o_orderkey % 100 = 0)::BIGINT AS extra, count_if(o_orderkey % 6 = 0)::BIGINT AS repeated, sum(o_custkey)::BIGINT AS whole_sum, sum(o_custkey * (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END))::BIGINT + sum(CASE WHEN o_orderkey % 100 = 0 THEN 5 ELSE 0 END)::BIGINT AS parts_sum FROM orders")
 def reconcile(spark, sf_dir):
+    """Parts that lack some orders, share others, and hold some that never were."""
     orders = table(spark, sf_dir, "orders")
-    return delivery.reconciled(orders, [orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 <> 0")], "o_orderkey", "o_custkey")
+    extra = orders.filter("o_orderkey % 100 = 0").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit(5).cast("long").alias("o_custkey"))
+    return delivery.reconciled(orders, [orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 3 = 0"), extra], "o_orderkey", "o_custkey")
 
 
 @query("SELECT item, string_agg(recipient, ',' ORDER BY recipient) AS recipients, count(*) AS n FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS item, l_returnflag || l_linestatus AS recipient FROM lineitem) GROUP BY item HAVING count(*) > 1")
@@ -135,12 +137,12 @@ def commit_join_rate(spark, sf_dir):
     return delivery.match_rate(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sha")), mapped, "sha")
 
 
-@query("SELECT count(*) AS rows, 0::BIGINT AS wrong FROM events")
+@query("SELECT count(*) AS rows, count_if(event_id % 100 = 7)::BIGINT AS wrong FROM events")
 def positional_pairing(spark, sf_dir):
-    """Original and masked rows paired by position, and checked on the columns that masking leaves."""
+    """Original and masked rows paired by position, and checked on a column that masking should have left but hasn't everywhere."""
     events = table(spark, sf_dir, "events")
     left = ranking.numbered(events.select("event_id", "event_type"), ["event_id"])
-    right = ranking.numbered(events.select("event_id", F.col("event_type").alias("masked_type"), F.sha2(F.col("user_id").cast("string"), 256).alias("user")), ["event_id"])
+    right = ranking.numbered(events.select("event_id", F.when(F.col("event_id") % 100 == 7, "?").otherwise(F.col("event_type")).alias("masked_type"), F.sha2(F.col("user_id").cast("string"), 256).alias("user")), ["event_id"])
     return left.join(right.drop("event_id"), "n").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("event_type") != F.col("masked_type")).alias("wrong"))
 
 
@@ -159,21 +161,19 @@ def separator_cluster(spark, sf_dir):
 @query("SELECT l_shipmode_page AS image, count(DISTINCT l_quantity) AS colours, count(*) AS pixels, count(DISTINCT l_quantity) * 1.0::DOUBLE / count(*) > 0.05 AS photo FROM (SELECT l_quantity, l_suppkey AS l_shipmode_page FROM lineitem) GROUP BY 1")
 def photo_ratio(spark, sf_dir):
     """Line items as pixels of a supplier's image."""
-    pixels = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("image"), F.col("l_quantity").alias("rgb"))
-    out = pixels.groupBy("image").agg(F.count_distinct("rgb").alias("colours"), F.count(F.lit(1)).alias("pixels"))
-    return out.withColumn("photo", F.col("colours") / F.col("pixels") > 0.05)
+    return images.photos(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("image"), F.col("l_quantity").alias("rgb")))
 
 
 @query("SELECT event_id % 50 AS image, floor(quantile_cont(v, 0.01))::BIGINT AS fill, floor(quantile_cont(v, 0.99))::BIGINT AS bright FROM (SELECT event_id, floor(abs(value) * 10)::DOUBLE AS v FROM events) GROUP BY 1")
 def percentile_fill(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("image"), F.floor(F.abs("value") * 10).cast("double").alias("v"))
-    return rows.groupBy("image").agg(F.floor(F.percentile("v", 0.01)).alias("fill"), F.floor(F.percentile("v", 0.99)).alias("bright"))
+    rows = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("image"), F.floor(F.abs("value") * 10).cast("double").alias("value"))
+    return images.percentiles(rows, fill=0.01, bright=0.99)
 
 
 @query("SELECT event_id // 20 AS frame, round(20 * log10(sqrt(avg(v * v)) / 32768 + 1e-12), 6) AS db FROM (SELECT event_id, floor(value * 10)::DOUBLE AS v FROM events) GROUP BY 1")
 def frame_levels(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 20).alias("frame"), F.floor(F.col("value") * 10).cast("double").alias("v"))
-    return rows.groupBy("frame").agg(F.round(20 * F.log10(F.sqrt(F.avg(F.col("v") * F.col("v"))) / 32768 + 1e-12), 6).alias("db"))
+    return audio.frame_levels(rows, "v", "frame")
 
 
 @query("SELECT source, doc_id, (floor((r - 1) / 12) + 1)::BIGINT AS sheet, ((r - 1) % 12)::BIGINT AS place FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents)")
@@ -194,6 +194,13 @@ def manifest(spark, sf_dir):
     return out.withColumn("status", F.when((F.col("commits") == 0) | (F.col("authors") == 0), "REVIEW").otherwise("OK"))
 
 
+@query("WITH r AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'Mx. Mask-me/' ELSE 'plain/' END AS folder, o_orderkey FROM orders) SELECT replace(folder, 'Mx. Mask-me', 'Person A') || CAST(o_orderkey AS VARCHAR) || '.csv' AS path, 'by ' || CASE WHEN o_orderkey % 3 = 0 THEN 'Person A' ELSE 'none' END AS text FROM r")
+def masked_paths(spark, sf_dir):
+    hit = F.col("o_orderkey") % 3 == 0
+    texts = table(spark, sf_dir, "orders").select(F.concat(F.when(hit, "Mx. Mask-me/").otherwise("plain/"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("path"), F.concat(F.lit("by "), F.when(hit, "MX MASK ME").otherwise("none")).alias("text"))
+    return delivery.masked_paths(texts, redact.map_masker({"Mx Mask Me": "Person A"}))
+
+
 def _chunk(kind: bytes, body) -> F.Column:
     size = F.unhex(F.lpad(F.hex(F.octet_length(body)), 8, "0"))
     return F.concat(size, F.lit(bytearray(kind)), body, F.lit(bytearray(4)))

@@ -11,12 +11,12 @@ from ..session import table
 from .registry import query
 
 #: What is added to turns, as the fixtures hold no such speech.
-_SPOKEN = "CASE turn % 7 WHEN 0 THEN ' my card is four one one one two' WHEN 1 THEN ' may I have your name' WHEN 2 THEN ' this is Zorblat speaking to mr Quentin' WHEN 3 THEN ' it is m o r a and K-e-e-n' WHEN 4 THEN ' call 555-1234 or two three' WHEN 5 THEN ' my name is Vexley, the doctor' ELSE ' pin code nine' END"
+_SPOKEN = "CASE turn % 7 WHEN 0 THEN ' my card is four one one one two' WHEN 1 THEN ' may I have your name' WHEN 2 THEN ' this is Zorblat speaking to mr Quentin' WHEN 3 THEN ' it is m o r a and K-e-e-n' WHEN 4 THEN ' call 555-1234 or two three' WHEN 5 THEN ' my name is Vexley, the doctor' ELSE ' pin code \uff19\uff18 nine' END"
 _SEGS = f"SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS file, turn AS seg, turn * 100.0::DOUBLE AS start, trim(regexp_replace(text || {_SPOKEN}, '\\s+', ' ', 'g')) AS text FROM conversations".replace("\\\\", "\\")
 _STRIP = """regexp_replace(regexp_replace(w, '^[.,!?;:"''()\\[\\]।॥]+', ''), '[.,!?;:"''()\\[\\]।॥]+$', '')"""
 _IN_NUMBERS = ", ".join(f"'{w}'" for w in P.NUMBER_WORDS)
 _IN_COMMON = ", ".join("'" + w.replace("'", "''") + "'" for w in P.COMMON_WORDS)
-_WORDS = f"SELECT file, seg, text, pos, w, round(start + pos * 0.4::DOUBLE, 3) AS s, round(start + pos * 0.4::DOUBLE + 0.3::DOUBLE, 3) AS e, c, CASE WHEN regexp_matches(c, '[0-9]') AND regexp_full_match(c, '[0-9\\-.\\s()]+') THEN length(regexp_replace(c, '[^0-9]', '', 'g')) WHEN c IN ({_IN_NUMBERS}) THEN 1 ELSE 0 END AS n FROM (SELECT *, lower({_STRIP}) AS c FROM (SELECT file, seg, start, text, unnest(string_split(text, ' ')) AS w, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM ({_SEGS})))".replace("\\\\", "\\")
+_WORDS = f"SELECT file, seg, text, pos, w, round(start + pos * 0.4::DOUBLE, 3) AS s, round(start + pos * 0.4::DOUBLE + 0.3::DOUBLE, 3) AS e, c, CASE WHEN regexp_matches(c, '[0-9]') AND regexp_full_match(c, '[0-9\\-.\\s()]+') THEN length(regexp_replace(c, '[^0-9]', '', 'g')) WHEN c IN ({_IN_NUMBERS}) THEN 1 ELSE 0 END AS n FROM (SELECT *, translate(lower({_STRIP}), '\uff19\uff18', '98') AS c FROM (SELECT file, seg, start, text, unnest(string_split(text, ' ')) AS w, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM ({_SEGS})))".replace("\\\\", "\\")
 _CONTEXTS = "CASE " + " ".join(f"WHEN regexp_matches(text, '{p.replace('(?iU)', '(?i)')}') THEN '{name}'" for name, p in P.SEGMENT_CONTEXTS) + " END"
 
 
@@ -75,9 +75,10 @@ def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.lower(F.substring("p_name", 1, 5)).alias("name")).union(spark.createDataFrame([("zorblat",), ("quentin",)], "name string")).distinct()
 
 
-@query(f"SELECT file, s, e, 'known given name' AS reason, w AS heard FROM ({_WORDS}) WHERE c IN (SELECT name FROM {_GAZETTEER})")
+@query(f"SELECT file, s, e, 'known given name' AS reason, w AS heard FROM (SELECT *, l AND ((lag(l, 1, false) OVER o AND lag(l, 2, false) OVER o) OR (lead(l, 1, false) OVER o AND lead(l, 2, false) OVER o) OR (lag(l, 1, false) OVER o AND lead(l, 1, false) OVER o)) AS spelled FROM (SELECT *, regexp_full_match(c, '[a-z]') AS l FROM ({_WORDS})) WINDOW o AS (PARTITION BY file, seg ORDER BY pos)) WHERE NOT spelled AND n = 0 AND NOT regexp_full_match(c, '(?:[a-z][-\\s]){{2,}}[a-z]') AND c IN (SELECT name FROM {_GAZETTEER} UNION SELECT 'nine' UNION SELECT 'm')".replace("\\\\", "\\"))
 def given_names(spark, sf_dir):
-    return speech.given_name_spans(_words(spark, sf_dir), _gazetteer(spark, sf_dir))
+    """With two words on the list that also stand in numbers and in what is spelled."""
+    return speech.given_name_spans(_words(spark, sf_dir), _gazetteer(spark, sf_dir).union(spark.createDataFrame([("nine",), ("m",)], "name string")))
 
 
 _TOKENS = f"""(SELECT file, seg, pos, s, w, lower(regexp_replace(regexp_replace(w, '^[.,!?;:"'']+', ''), '[.,!?;:"'']+$', '')) AS c FROM ({_WORDS}))"""
@@ -111,7 +112,7 @@ def span_merge_overlap(spark, sf_dir):
     return speech.islands(_spans(spark, sf_dir), 0, 0).groupBy("file", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).drop("island")
 
 
-@query()  # how reasons add up depends on their order; tested against a plain loop
+@query("""SELECT file, "start", "end", list_reduce(list_transform(own, lambda x: x.reason), lambda a, r: CASE WHEN contains(a, r) THEN a ELSE a || ' + ' || r END) AS reason, array_to_string(list_transform(own, lambda x: x.heard), ' ') AS heard FROM (SELECT file, min(s) AS "start", max(e) AS "end", list({'reason': reason, 'heard': heard} ORDER BY s, e, reason, heard) AS own FROM (SELECT *, sum(fresh) OVER (PARTITION BY file ORDER BY s, e, reason, heard ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY file ORDER BY s, e, reason, heard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 0.6::DOUBLE THEN 0 ELSE 1 END AS fresh FROM (SELECT file, greatest(0.0::DOUBLE, "start" - 0.3::DOUBLE) AS s, "end" + 0.3::DOUBLE AS e, reason, heard FROM """ + _SPANS + """))) GROUP BY file, island)""")
 def span_reasons(spark, sf_dir):
     return speech.merged_spans(_spans(spark, sf_dir))
 
@@ -135,17 +136,23 @@ _COUNTS = ", ".join(f"length(regexp_replace(text, '[^\\x{{{lo:X}}}-\\x{{{hi:X}}}
 _NAMES = [name for name, _, _ in P.SCRIPTS]
 
 
-@query(f"SELECT CAST(doc_id AS VARCHAR) AS file, CASE WHEN greatest({', '.join(_NAMES)}) > 0 THEN 'Latin' END AS script, CASE WHEN {' + '.join(_NAMES)} > 0 THEN round(100.0 * greatest({', '.join(_NAMES)}) / ({' + '.join(_NAMES)}), 2) ELSE 0.0 END::DOUBLE AS purity, 0::BIGINT AS invalid, 0::BIGINT AS mixed, 0.0::DOUBLE AS dead_seconds, Latin > 0 AS passed FROM (SELECT doc_id, {_COUNTS} FROM documents)")
+#: Other scripts, words of two, and invalid characters, which the fixtures lack.
+_SCRIPTED = "concat(CASE doc_id % 5 WHEN 0 THEN repeat('\u0928\u092e\u0938\u094d\u0924\u0947 ', 600) WHEN 1 THEN repeat('\u041f\u0440\u0438\u0432\u0435\u0442 ', 40) ELSE '' END, text, CASE WHEN doc_id % 6 = 0 THEN ' \u041faypal x\u0645\u0645 \u0938\u041f' ELSE '' END, CASE WHEN doc_id % 7 = 0 THEN '\ufffd\ue123' ELSE '' END)"
+_SUMMED = " + ".join(f"CASE WHEN regexp_matches(w, '[\\x{{{lo:X}}}-\\x{{{hi:X}}}]') THEN 1 ELSE 0 END" for _, lo, hi in P.SCRIPTS).replace("\\\\", "\\")
+_MAIN = "CASE " + " ".join(f"WHEN {n} > 0 AND {n} = greatest({', '.join(_NAMES)}) THEN '{n}'" for n in sorted(_NAMES)) + " END"
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS file, {_MAIN} AS script, CASE WHEN {' + '.join(_NAMES)} > 0 THEN round(100.0 * greatest({', '.join(_NAMES)}) / ({' + '.join(_NAMES)}), 2) ELSE 0.0 END::DOUBLE AS purity, (CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 0 END)::BIGINT AS invalid, mixed, 0.0::DOUBLE AS dead_seconds, round(100.0 * greatest({', '.join(_NAMES)}) / ({' + '.join(_NAMES)}), 2) >= 95 AND doc_id % 7 <> 0 AND mixed = 0 AS passed FROM (SELECT doc_id, {_COUNTS}, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: {_SUMMED} > 1))::BIGINT AS mixed FROM (SELECT doc_id, {_SCRIPTED} AS text FROM documents))".replace("\\\\", "\\"))
 def script_quality(spark, sf_dir):
-    segs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), F.lit(0.0).alias("start"), F.lit(10.0).alias("end"), "text")
+    segs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), F.lit(0.0).alias("start"), F.lit(10.0).alias("end"), F.expr(_SCRIPTED).alias("text"))
     out = speech.quality(segs)
     return out.withColumn("purity", F.col("purity").cast("double"))
 
 
 @query("SELECT doc_id, count_if(regexp_matches(w, '[A-z]') AND regexp_matches(w, '[Ѐ-ӿ]'))::BIGINT AS mixed FROM (SELECT doc_id, unnest(regexp_split_to_array(text || ' Пaypal иван', '\\s+')) AS w FROM documents) GROUP BY doc_id".replace("\\\\", "\\"))
 def mixed_words(spark, sf_dir):
-    words = F.filter(F.split(F.concat("text", F.lit(" Пaypal иван")), r"\s+"), lambda w: detect.scripts_in(w) > 1)
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(words).cast("long").alias("mixed"))
+    text = F.concat("text", F.lit(" Пaypal иван"))
+    return table(spark, sf_dir, "documents").select("doc_id", detect.mixed_words(detect.script_marks(text)).cast("long").alias("mixed"))
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS file, sum(CASE WHEN len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) / 2.0 < 40 THEN 120.0 ELSE 0 END)::DOUBLE AS dead_seconds FROM conversations GROUP BY conv_id".replace("\\\\", "\\"))

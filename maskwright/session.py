@@ -12,8 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to spark.checkpoint.dir; a session without one (tests) gets a local folder."""
+    """Checkpoint to spark.checkpoint.dir; without one a session on one machine (tests) gets a local folder, any other an error."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="maskwright-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="maskwright-"))
     return df.checkpoint()
