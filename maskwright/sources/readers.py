@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import media, patterns as P
 from ..functions.detect import is_read_source, one_of, path_suffix
+from ..operators.records import flattened
 from ..operators.speech import TRANSCRIPT
 
 OBJECTS = "repo string, sha string, type string, size long, content binary"
 SECRETS = "Secret string"
 
 
-class CodecMissing(NotImplementedError):
-    """The format needs a decoder that isn't part of this engine; use the flattened tables that its operators take."""
-
-
 def files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Binary files below a folder: path, length, content. Filters on path and length reach the scan; content is read only where selected."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -94,5 +91,8 @@ def recordings(spark: SparkSession, path: str) -> DataFrame:
     return files(spark, path, "*.wav").select(F.col("path").alias("file"), parse("content").alias("_s")).select("file", "_s.sr", "_s.samples").filter("sr is not null")
 
 
-def dicom(spark: SparkSession, path: str) -> DataFrame:
-    raise CodecMissing("read studies into the element table that operators.records takes")
+def dicom_json(spark: SparkSession, path: str) -> DataFrame:
+    """Elements of records in the JSON model of the DICOM standard, one file each, in a folder for each patient: file, patient and what records.flattened gives. The
+    decoder of binary files is outside of this engine; what can't be read gives no rows."""
+    whole = files(spark, path).select(F.col("path").alias("file"), F.element_at(F.split("path", "/"), -2).alias("patient"), F.col("content").cast("string").alias("content"))
+    return flattened(whole, "content", "file", "patient")

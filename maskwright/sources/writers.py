@@ -1,12 +1,16 @@
-"""Sinks. Each writes what Spark's writers can write, in parts, and nothing goes through the driver."""
+"""Sinks. Each writes what Spark's writers can write, in parts, and nothing goes through the driver. Encoders of pictures and of binary DICOM files are outside of this engine."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import media
+from ..operators.delivery import masked_paths
 from ..operators.identity import labelled, mailmap
+from ..operators.records import delivered_path
 
 
 def write_mailmap(key: DataFrame, path: str) -> None:
@@ -15,8 +19,16 @@ def write_mailmap(key: DataFrame, path: str) -> None:
 
 
 def write_persona_key(key: DataFrame, path: str) -> None:
-    """The table that leads back to people. Keep the folder private."""
+    """The table that leads back to people, in a folder that its owner alone may open."""
     labelled(key).select("identity", "label").write.mode("overwrite").json(path)
+    restrict(key.sparkSession, path)
+
+
+def restrict(spark: SparkSession, path: str) -> None:
+    """Take a folder from all but its owner."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).setPermission(at, jvm.org.apache.hadoop.fs.permission.FsPermission("700"))
 
 
 def write_rules(rules: DataFrame, path: str) -> None:
@@ -44,6 +56,17 @@ def file_digests(files: DataFrame) -> DataFrame:
     return files.select("path", "size", F.sha2("content", 256).alias("sha256"))
 
 
-def write_masked(texts: DataFrame, path: str) -> None:
-    """Masked texts with their masked relative paths."""
-    texts.select("path", "text").write.mode("overwrite").parquet(path)
+def write_masked(texts: DataFrame, mask: Callable[[Column], Column], path: str) -> None:
+    """Texts (path, text) with both masked alike; path is the one below the delivery's folder."""
+    masked_paths(texts, mask).select("path", "text").write.mode("overwrite").parquet(path)
+
+
+def write_survivors(transcripts: DataFrame, path: str) -> None:
+    """One JSON row for each finished recording: its segments and what is still heard in it."""
+    transcripts.write.mode("overwrite").json(path)
+
+
+def write_elements(elements: DataFrame, key: DataFrame, path: str) -> None:
+    """Finished records, each file below its patient's pseudonym; files of patients without a key aren't written."""
+    placed = elements.join(key.select("patient", "pseudo_id"), "patient").withColumn("file", delivered_path(F.col("file"), F.col("pseudo_id")))
+    placed.drop("patient", "pseudo_id").write.mode("overwrite").parquet(path)
