@@ -70,6 +70,8 @@ class SiteRule:
     damping: float = 0.9
     #: Hosts' nodes that are broadcast at most, some 30 bytes each; more are joined by a shuffle.
     broadcast_nodes: int = 500_000
+    #: Whether tags, classes and roles count that name the article or what is none of it. Without, the tree alone decides.
+    markup: bool = True
 
 
     def bound(self, pages: int) -> float:
@@ -80,9 +82,10 @@ class SiteRule:
 class Page:
     """The blocks of a page, and the elements that they stand in."""
 
-    __slots__ = ("blocks", "key", "kind", "named", "parent", "tag")
+    __slots__ = ("blocks", "key", "kind", "markup", "named", "parent", "tag")
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, markup: bool = True):
+        self.markup = markup
         self.parent, self.tag, self.kind, self.named = [-1], ["#"], [PLAIN], [False]
         self.key = [0]
         self.blocks: list[tuple[int, str]] = []
@@ -159,17 +162,17 @@ class Page:
                 if tag in ENDED_BY and (i := nearest(*ENDED_BY[tag])):
                     close(i)
             words: frozenset[str] = frozenset()
-            noise = tag in NOISE_TAGS
-            root = tag in ("article", "main")
+            noise = self.markup and tag in NOISE_TAGS
+            root = self.markup and tag in ("article", "main")
             if attrs and _TOLD.search(attrs):
                 words, said = self._said(attrs)
                 noise = noise or said == NOISE
-                root = root or said == ROOT
-            noise = (noise or bool(words & NOISE_WORDS)) and tag not in ("body", "html")
+                root = self.markup and (root or said == ROOT)
+            noise = (noise or self.markup and bool(words & NOISE_WORDS)) and tag not in ("body", "html")
             if tag in VOID or (attrs.endswith("/") and tag in ("svg", "template", "object")) or not (block or noise):
                 continue
             up = stack[-1][1]
-            if block and not noise and not root and tag not in ("body", "html") and (tag == "header" or words & OUTER_NOISE_WORDS):
+            if self.markup and block and not noise and not root and tag not in ("body", "html") and (tag == "header" or words & OUTER_NOISE_WORDS):
                 noise = not self._within(up)
             self.parent.append(up)
             self.tag.append(tag)
@@ -305,7 +308,7 @@ def site_nodes(pages: DataFrame, html: str, rule: SiteRule) -> DataFrame:
         total: dict[tuple[str, int, int, int], list[float]] = {}
         for batch in batches:
             for host, text in zip(batch["host"].to_pylist(), batch[html], strict=True):
-                for at, n in Page(text.as_py() or "").features().items():
+                for at, n in Page(text.as_py() or "", rule.markup).features().items():
                     sums = total.setdefault((host, *at), [0, 0.0])
                     sums[0] += n
                     sums[1] += n * math.log(n)
@@ -344,7 +347,8 @@ def main_texts(df: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """Main text of each page: page_id, url, text (blocks joined by a line end, empty if none), n_chars (code points).
 
     The article, or else the element that is named as the main part, or else the body is read; what else it holds is dropped only where its markup or its site's
-    tree says so. A null or empty html gives an empty text; a page without a URL has no site and is read by its markup
+    tree says so. A page of any length is read whole; the value of an attribute that is longer than 65,536 characters ends its tag at the first `>`, so that hostile pages are read in
+    bounded time. A null or empty html gives an empty text; a page without a URL has no site and is read by its markup
     alone; repeated rows are read each, and count each as a page of their site; an empty table gives no rows; other columns are ignored.
     """
     pages = df.select(F.col(page_id), F.col(url), host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
@@ -363,7 +367,7 @@ def main_texts(df: DataFrame, page_id: str = "page_id", url: str = "url", html:
                     if len(sites) >= 1024:
                         sites.clear()
                     sites[host] = {s["node"] & (2**64 - 1): (s["pages"], s["presentation"], s["content"], s["styles"]) for s in site.as_py() or []}
-                texts.append("\n".join(Page(text.as_py() or "").main_text(sites[host], rule)))
+                texts.append("\n".join(Page(text.as_py() or "", rule.markup).main_text(sites[host], rule)))
             yield pa.RecordBatch.from_arrays([batch[page_id], batch[url], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[page_id, url, "text", "n_chars"])
 
     schema = T.StructType([df.schema[page_id], df.schema[url], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
