@@ -83,3 +83,20 @@ def test_nulls_ties_and_no_rows(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted((r.text, r.n_chars) for r in main_texts(frame).collect()) == [("", 0), ("", 0), ("a", 1), ("b", 1), ("é", 1)]
     assert main_texts(frame.limit(0)).count() == 0 and main_texts(frame).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_the_trees_do_it_without_markup(spark):
+    """Menus, notices, adverts and footers that a site repeats go by entropy alone, with all lists of tags, classes and roles switched off; without the trees they stay."""
+    rng = random.Random(11)
+    rows = []
+    for host in ("one.example", "two.example"):
+        menu, foot, notice, adverts = prose(rng, 12), prose(rng, 9), prose(rng, 15), [prose(rng, 8) for _ in range(4)]
+        for i in range(40):
+            body = [prose(rng, rng.randint(8, 30), 5000) for _ in range(rng.randint(2, 6))]
+            html = f"<nav><ul><li>{menu}</ul></nav><div class=cookie>{notice}</div><div class=ad>{rng.choice(adverts)}</div><article>{''.join(f'<p>{b}</p>' for b in body)}</article><footer>{foot}</footer>"
+            rows.append((f"https://{host}/{i}", html, "\n".join(body)))
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows)], "page_id long, url string, html string").repartition(4)
+    of = lambda rule: {r.page_id: r.text for r in main_texts(frame, rule=rule).collect()}
+    alone, neither = of(SiteRule(markup=False)), of(SiteRule(markup=False, least=0.0))
+    assert all(alone[i] == want for i, (*_, want) in enumerate(rows))
+    assert not any(neither[i] == want for i, (*_, want) in enumerate(rows))
