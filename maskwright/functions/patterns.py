@@ -76,7 +76,7 @@ FILM_TOP, FILM_ROWS, FILM_COLUMNS, FILM_FOOT, FILM_WIDTH = 162, 7, 5, 11, 3000
 TILE_NAME, TILE_VENDOR = (95, 300), (70, 120)
 DOSE_ROWS, DOSE_LEFT = (33, 92), 335
 SEPARATOR_GAP, SEPARATOR_MARGIN = 40, 200
-PHOTO_SHARE = 0.05
+PHOTO_SHARE, BOX_MARGIN = 0.05, 3
 MOST_BLOB_BYTES, MOST_TEXT_BYTES = 40 * 1024 * 1024, 2_000_000
 SCRIPTS = (
     ("Devanagari", 0x0900, 0x097F), ("Gurmukhi", 0x0A00, 0x0A7F), ("Kannada", 0x0C80, 0x0CFF), ("Bengali", 0x0980, 0x09FF), ("Tamil", 0x0B80, 0x0BFF), ("Gujarati", 0x0A80, 0x0AFF),

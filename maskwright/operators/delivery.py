@@ -108,6 +108,11 @@ def manifest(commits: DataFrame, residual: DataFrame, remotes: DataFrame) -> Dat
     return gates.package_status(out.fillna(0, ["residual", "remotes"]))
 
 
+def encoded_path(path: Column) -> Column:
+    """A path as one part of a URL: all but letters, digits and -._~ escaped."""
+    return F.replace(F.replace(F.replace(F.url_encode(path), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def masked_paths(texts: DataFrame, mask: Callable[[Column], Column]) -> DataFrame:
     """Texts (path, text) with path and text masked alike; a path is the one below the delivery's folder."""
     return texts.withColumn("path", mask(F.col("path"))).withColumn("text", mask(F.col("text")))

@@ -81,5 +81,23 @@ def inside(boxes: Column) -> Column:
     return F.coalesce(F.exists(boxes, lambda b: (F.col("x") >= b["x0"]) & (F.col("x") < b["x1"]) & (F.col("y") >= b["y0"]) & (F.col("y") < b["y1"])), F.lit(False))
 
 
-#: What a masked study says of its pixels.
-PIXEL_FLAGS = {"BurnedInAnnotation": "NO", "TransferSyntaxUID": "1.2.840.10008.1.2.1"}
+def coarse(pixels: DataFrame, sizes: DataFrame, edge: int = 16, value: str = "value") -> DataFrame:
+    """Photographs with the long edge cut down to `edge` blocks, each pixel the mean of its block: what was to be read is gone, not hidden. sizes: image, width, height.
+
+    Blocks aren't smoothed into each other, which takes nothing away further."""
+    step = F.ceil(F.greatest("width", "height") / edge)
+    placed = pixels.join(sizes.select("image", step.alias("_step")), "image").withColumn("_bx", F.floor(F.col("x") / F.col("_step"))).withColumn("_by", F.floor(F.col("y") / F.col("_step")))
+    means = placed.groupBy("image", "_bx", "_by").agg(F.avg(value).alias("_mean"))
+    return placed.join(means, ["image", "_bx", "_by"]).withColumn(value, F.col("_mean")).drop("_step", "_bx", "_by", "_mean")
+
+
+def painted(pixels: DataFrame, words: DataFrame, value: str = "value", blank: float = 255.0) -> DataFrame:
+    """Pixels with the boxes of words (image, x, y, w, h) and a margin around them filled by the background beside each word, which is taken from the pixels as they come; `blank` where
+    there is none. Of several boxes over a pixel the last in reading order counts. Who reads the words again can paint again, until nothing is read."""
+    pad = P.BOX_MARGIN
+    box = F.struct((F.col("y") - pad).alias("y0"), (F.col("x") - pad).alias("x0"), (F.col("y") + F.col("h") + pad).alias("y1"), (F.col("x") + F.col("w") + pad).alias("x1"))
+    at = words.select("image", box.alias("_box"), F.greatest(F.col("x") - pad, F.lit(0)).alias("x"), F.greatest(F.col("y") + F.floor(F.col("h") / 2), F.lit(0)).alias("y"))
+    filled = at.join(pixels.select("image", "x", "y", F.col(value).alias("_fill")), ["image", "x", "y"], "left").withColumn("_fill", F.coalesce("_fill", F.lit(blank)))
+    boxes = filled.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("_box.y0", "_box.x0", "_box.y1", "_box.x1", "_fill"))).alias("_boxes"))
+    over = F.filter("_boxes", lambda b: F.col("x").between(b["x0"], b["x1"]) & F.col("y").between(b["y0"], b["y1"]))
+    return pixels.join(boxes, "image", "left").withColumn(value, F.coalesce(F.try_element_at(over, F.lit(-1))["_fill"], F.col(value))).drop("_boxes")

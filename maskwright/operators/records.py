@@ -180,3 +180,16 @@ def checks(before: DataFrame, after: DataFrame, strings: DataFrame, read_texts:
     for r in rows[1:]:
         out = out.union(r)
     return out
+
+
+#: What a file whose pixels were masked says of them: not burned in any more, and not compressed.
+PIXEL_FLAGS = (("BurnedInAnnotation", "CS", 0x28, "NO"), ("TransferSyntaxUID", "UI", 0x02, "1.2.840.10008.1.2.1"))
+
+
+def pixels_masked(elements: DataFrame, files: DataFrame) -> DataFrame:
+    """Elements with the flags of masked pixels set in the given files (file); the others' stay."""
+    marked = elements.join(files.select("file").distinct().withColumn("_masked", F.lit(1)), "file", "left")
+    columns = ["file", "patient", "path", "keyword", "vr", "grp", "value"]
+    flag = F.array(*(F.struct(F.lit(k).alias("path"), F.lit(k).alias("keyword"), F.lit(vr).alias("vr"), F.lit(grp).alias("grp"), F.lit(value).alias("value")) for k, vr, grp, value in PIXEL_FLAGS))
+    kept = marked.filter(F.col("_masked").isNull() | ~F.col("path").isin(*(f[0] for f in PIXEL_FLAGS)))
+    return kept.select(*columns).union(marked.filter("_masked = 1").select("file", "patient").distinct().select("file", "patient", F.inline(flag)).select(*columns))

@@ -9,7 +9,8 @@ from ..functions import detect, patterns as P, redact
 from ..operators import audio, delivery, gates, history, images, records, speech
 from ..session import table
 from .delivery import SECRET
-from .registry import query
+from .registry import ORACLES, query
+from .speech import _WORDS, _gazetteer, _words, script_quality
 from .text import _CARDS, _IS_CARD
 
 # --- histories --------------------------------------------------------------------------------------------
@@ -332,3 +333,49 @@ def recording_totals(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations").withColumn("file", F.col("conv_id").cast("string"))
     spans = conv.filter("turn % 2 = 0").select("file", (F.col("turn") * 3.0).alias("start"), (F.col("turn") * 3.0 + 1.5).alias("end"))
     return speech.totals(spans, conv.groupBy("file").agg((F.max("turn") + 1).alias("_n")).select("file", (F.col("_n") * 10.0).alias("duration")))
+
+
+@query(f"SELECT 'transcripts' AS gate, count(*) AS checked, count_if(NOT passed)::BIGINT AS violations, CASE WHEN count_if(NOT passed) > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM ({ORACLES['script_quality']})")
+def gate_transcripts(spark, sf_dir):
+    return gates.gate("transcripts", script_quality(spark, sf_dir), ~F.col("passed"))
+
+
+@query(f"SELECT 'recordings' AS gate, (SELECT count(DISTINCT file) FROM ({_WORDS})) AS checked, count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM ({ORACLES['survivors']})")
+def gate_recordings(spark, sf_dir):
+    """What is still heard in finished recordings."""
+    ws = _words(spark, sf_dir)
+    found = speech.survivors(ws, _gazetteer(spark, sf_dir)).agg(F.count(F.lit(1)).alias("violations"))
+    return gates.counted("recordings", ws.agg(F.count_distinct("file").alias("checked")).crossJoin(found))  # one row each
+
+
+_GRID = "(SELECT l_suppkey % 4 AS image, l_orderkey % 100 AS x, l_linenumber + 10 * (l_orderkey % 5) AS y, max(CAST(l_quantity AS DOUBLE)) AS value FROM lineitem GROUP BY ALL)"
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.groupBy((F.col("l_suppkey") % 4).alias("image"), (F.col("l_orderkey") % 100).alias("x"), (F.col("l_linenumber") + 10 * (F.col("l_orderkey") % 5)).alias("y")).agg(F.max(F.col("l_quantity").cast("double")).alias("value"))
+
+
+@query(f"SELECT image, x, y, round(avg(value) OVER (PARTITION BY image, x // 7, y // 7), 6) AS value FROM {_GRID}")
+def coarse_photos(spark, sf_dir):
+    pixels = _grid(spark, sf_dir)
+    sizes = pixels.select("image").distinct().withColumn("width", F.lit(100)).withColumn("height", F.lit(60))
+    return images.coarse(pixels, sizes).withColumn("value", F.round("value", 6))
+
+
+@query(f"SELECT g.image, g.x, g.y, CASE WHEN g.x BETWEEN 21 AND 47 AND g.y BETWEEN 1 AND 33 THEN coalesce(f.value, 255.0) ELSE g.value END AS value FROM {_GRID} g LEFT JOIN (SELECT image, value FROM {_GRID} WHERE x = 21 AND y = 17) f ON g.image = f.image")
+def painted_words(spark, sf_dir):
+    pixels = _grid(spark, sf_dir)
+    box = [F.lit(n).alias(c) for c, n in (("x", 24), ("y", 4), ("w", 20), ("h", 26))]
+    return images.painted(pixels, pixels.select("image").distinct().select("image", *box))
+
+
+@query(f"SELECT 'p' || {_K} || '/scan.dcm' AS file, 'BurnedInAnnotation' AS path, 'NO' AS value FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT 'p' || {_K} || '/scan.dcm', 'TransferSyntaxUID', '1.2.840.10008.1.2.1' FROM customer WHERE c_custkey % 3 = 0")
+def pixel_flags(spark, sf_dir):
+    flat = _flat(spark, sf_dir)
+    return records.pixels_masked(flat, records.secondary_captures(flat)).filter(F.col("path").isin("BurnedInAnnotation", "TransferSyntaxUID")).select("file", "path", "value")
+
+
+@query("SELECT p_partkey, url_encode(p_brand || '/' || p_type || ' *~é') AS path FROM part")
+def encoded_paths(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", delivery.encoded_path(F.concat("p_brand", F.lit("/"), "p_type", F.lit(" *~é"))).alias("path"))

@@ -133,3 +133,17 @@ def test_watch_on_new_texts(spark, tmp_path):
     run = incremental.windowed_findings(incremental.watched_findings(stream)).writeStream.format("memory").queryName("seen").outputMode("complete").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     run.awaitTermination(90)
     assert [(r.cards, r.credentials) for r in spark.table("seen").collect()] == [(2, 0)]
+
+
+def test_painted_words(spark):
+    pixels = spark.createDataFrame([("i", x, y, 10.0 * y + x) for x in range(20) for y in range(20)], "image string, x int, y int, value double")
+    words = spark.createDataFrame([("i", 5, 6, 4, 2), ("i", 1, 1, 2, 2)], "image string, x int, y int, w int, h int")
+    got = {(r.x, r.y): r.value for r in images.painted(pixels, words).collect()}
+    for (x, y), v in got.items():
+        second = 2 <= x <= 12 and 3 <= y <= 11
+        first = x <= 6 and y <= 6
+        assert v == (10.0 * 7 + 2 if second else 10.0 * 2 + 0 if first else 10.0 * y + x), (x, y)
+
+
+def test_first_examples(spark):
+    assert [r.id for r in gates.examples(spark.range(30), ["id"], 5).collect()] == [0, 1, 2, 3, 4]
