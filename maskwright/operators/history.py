@@ -55,18 +55,22 @@ def rewritten_messages(commits: DataFrame, message: str, names: str | None, labe
 
 
 def class_counts(text: Column, path: Column, binary: Column | None = None) -> dict[str, Column]:
-    """Hits of each class of finding. Text classes count in text, path classes of machine traces in binary content."""
+    """Hits of each class of finding. Text classes count in text, path classes of machine traces in binary content. Patterns are tried only where the text has what any match must hold."""
     emails, phones = detect.found(text, P.EMAIL), detect.found(text, P.PHONE)
     people = F.size(F.array_distinct(emails)) + F.size(F.array_distinct(phones))
-    bulk = path.rlike(P.BULK_PATH) & (detect.newlines(text) > 200) & (people > 20)
+    where = lambda held, n: F.when(held, n).otherwise(0)
+    quoted = (text.contains('"') | text.contains("'")) & (text.contains("=") | text.contains(":"))
     in_text = {
         "card number": F.size(detect.card_numbers(text)),
-        "cvv": F.regexp_count(text, F.lit(P.CVV)),
-        "credential": F.size(detect.quoted_credentials(text)),
-        "url credential": F.size(detect.url_credentials(text)),
-        "bulk personal data": F.when(bulk, people).otherwise(0),
+        "cvv": where(F.lower(text).contains("cvv"), F.regexp_count(text, F.lit(P.CVV))),
+        "credential": where(quoted, F.size(detect.quoted_credentials(text))),
+        "url credential": where(text.contains("://") & text.contains("@"), F.size(detect.url_credentials(text))),
+        "bulk personal data": where(path.rlike(P.BULK_PATH) & (detect.newlines(text) > 200), where(people > 20, people)),
+    }
+    in_binary = {
+        "windows path": where(text.contains(":\\"), F.regexp_count(text, F.lit(P.WINDOWS_PATH))),
+        "home path": where(text.contains("/Users/") | text.contains("/home/"), F.regexp_count(text, F.lit(P.HOME_PATH))),
     }
-    in_binary = {"windows path": F.regexp_count(text, F.lit(P.WINDOWS_PATH)), "home path": F.regexp_count(text, F.lit(P.HOME_PATH))}
     out = {}
     for own, when in ((in_text, False), (in_binary, True)):
         for name, n in own.items():
@@ -75,6 +79,16 @@ def class_counts(text: Column, path: Column, binary: Column | None = None) -> di
     return out
 
 
+def bulk_dumps(rows: DataFrame, group: str, text: str) -> DataFrame:
+    """Dumps that come in rows: group, lines, people (different addresses and phones), bulk. Lines add up over rows and people over the whole, so a dump is never put together; texts are read once."""
+    who = F.concat(detect.found(F.col(text), P.EMAIL), detect.found(F.col(text), P.PHONE))
+    each = rows.select(group, (detect.newlines(F.col(text)) + 1).alias("_lines"), F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), F.array_distinct(who))).alias("_who"))
+    # the row without a name carries the lines
+    once = each.groupBy(group, "_who").agg(F.sum(F.when(F.col("_who").isNull(), F.col("_lines"))).alias("_lines"))
+    out = once.groupBy(group).agg((F.sum("_lines") - 1).alias("lines"), F.count("_who").alias("people"))
+    return out.withColumn("bulk", (F.col("lines") > 200) & (F.col("people") > 20))
+
+
 def findings(df: DataFrame, counts: dict[str, Column], keep: list[str]) -> DataFrame:
     """Long table of findings: the columns of keep, class, n. One pass over the text; rows without a finding give none."""
     cells = F.array(*(F.struct(F.lit(k).alias("class"), n.cast("long").alias("n")) for k, n in counts.items()))

@@ -162,12 +162,9 @@ def top_paths(spark, sf_dir):
 
 @query(f"""SELECT source, lines, people, lines > 200 AND people > 20 AS bulk FROM (SELECT source, (length(t) - length(replace(t, chr(10), '')))::BIGINT AS lines, (len(list_distinct(regexp_extract_all(t, '{_EMAIL}'))) + len(list_distinct(regexp_extract_all(t, '{_PHONE}'))))::BIGINT AS people FROM (SELECT source, string_agg(concat(text, chr(10), 'u', CAST(doc_id AS VARCHAR), '@mail.example'), chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY source))""")
 def bulk_personal(spark, sf_dir):
-    """A source's documents as one dump. Counts add up over rows and different people over the whole, so the dump itself is never put together."""
+    """A source's documents as one dump."""
     rows = _docs(spark, sf_dir).select("source", F.concat("text", F.lit("\nu"), F.col("doc_id").cast("string"), F.lit("@mail.example")).alias("t"))
-    lines = rows.groupBy("source").agg((F.sum(detect.newlines(F.col("t"))) + F.count(F.lit(1)) - 1).alias("lines"))
-    people = rows.select("source", F.explode(F.concat(detect.found(F.col("t"), P.EMAIL), detect.found(F.col("t"), P.PHONE))).alias("who")).distinct().groupBy("source").agg(F.count(F.lit(1)).alias("people"))
-    out = lines.join(people, "source", "left").withColumn("people", F.coalesce("people", F.lit(0)))
-    return out.select("source", "lines", "people", ((F.col("lines") > 200) & (F.col("people") > 20)).alias("bulk"))
+    return history.bulk_dumps(rows, "source", "t")
 
 
 @query(f"SELECT doc_id, unnest(regexp_extract_all(text, '{P.OPS_API_KEY}')) AS key FROM {_WITH_KEYS}")
