@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import LOWER_VALUES, U64, bounds, cut_lineage, fmix, lean, partitions, slices, windows, words
-from .substring import _ids
 
 
 @dataclass(frozen=True)
