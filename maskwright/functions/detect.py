@@ -97,11 +97,6 @@ def is_read_source(path: Column, size: Column) -> Column:
     return folders & one_of(path_suffix(path), P.SOURCE_SUFFIXES) & (size <= P.MOST_TEXT_BYTES)
 
 
-def script_counts(text: Column) -> dict[str, Column]:
-    """Characters of each script. A range is a plain code-point range, so Latin has some marks and no accented letters; the first range that holds a character counts."""
-    return {name: F.regexp_count(text, F.lit(f"[\\x{{{lo:X}}}-\\x{{{hi:X}}}]")) for name, lo, hi in P.SCRIPTS}
-
-
 #: A character of private use stands for each script where texts are counted.
 _MARKS = [chr(0xE000 + i) for i in range(len(P.SCRIPTS))]
 _ANY_MARK = f"{_MARKS[0]}-{_MARKS[-1]}"
@@ -110,7 +105,7 @@ _MIXED = rf"(?<!\S)[^\s{_ANY_MARK}]*([{_ANY_MARK}])(?:\1|[^\s{_ANY_MARK}])*(?!\1
 
 
 def script_marks(text: Column) -> Column:
-    """The text with each character of a script as the script's mark: one pass, after which scripts are counted and words judged without looking at ranges again."""
+    """The text with each character of a script as the script's mark. A script is a plain range of code points, so Latin has some marks and no accented letters. One pass, after which scripts are counted and words judged without looking at ranges again."""
     every = "".join(chr(c) for _, lo, hi in P.SCRIPTS for c in range(lo, hi + 1))
     marks = "".join(m * (hi - lo + 1) for m, (_, lo, hi) in zip(_MARKS, P.SCRIPTS, strict=True))
     return F.translate(F.regexp_replace(text, r"\p{Co}", ""), every, marks)

@@ -42,14 +42,6 @@ def minted(value: Column, n: Column) -> Column:
     return (F.rpad(F.lit("1"), F.length(value), F.lit("0")).cast("decimal(38,0)") + n - 1).cast("string")
 
 
-def written_back(df: DataFrame, doc: str, text: str, pattern: str, names: DataFrame, key: Callable[[Column], Column] = lambda m: m) -> DataFrame:
-    """df with each match replaced by its pseudonym. Only documents with a match take part in the join, with their different values; `doc` names a document."""
-    wanted = df.select(F.col(doc).alias("_doc"), F.explode(F.array_distinct(F.transform(found(F.col(text), pattern), key))).alias("value"))
-    maps = wanted.join(names, "value").groupBy("_doc").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("value", "replacement")))).alias("_map"))
-    joined = df.join(maps, F.col(doc) == F.col("_doc"), "left")
-    return joined.withColumn(text, swap_matches(F.col(text), pattern, F.col("_map"), key)).drop("_doc", "_map")
-
-
 def mask_exports(df: DataFrame, doc: str, text: str, mask_names: Callable[[Column], Column] = lambda t: t) -> DataFrame:
     """The masking of exported texts in its fixed order: names, keys, passwords, token URLs, e-mails, long numbers, phones.
 
