@@ -43,6 +43,14 @@ def residual(names: DataFrame, column: str = "name") -> DataFrame:
     return names.select(column).distinct().filter((F.col(column) != "") & ~F.col(column).rlike(LABEL))
 
 
+def merged_rules(*lists: DataFrame) -> DataFrame:
+    """Rules (lhs, ordinal) of several lists, each left side once with its least ordinal, so that what an earlier list has stays where it was."""
+    out = lists[0].select("lhs", "ordinal")
+    for other in lists[1:]:
+        out = out.union(other.select("lhs", "ordinal"))
+    return out.groupBy("lhs").agg(F.min("ordinal").alias("ordinal"))
+
+
 def name_rule(parts: DataFrame, extra: list[str] = (), exclude: list[str] = ()) -> tuple[list[str], list[str]]:
     """Full names and tokens of a merged rule, from name_parts. Further names are taken as they are, whatever their length; excluded ones are dropped from the tokens alone.
 

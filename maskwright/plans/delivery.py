@@ -188,12 +188,6 @@ def integrity_counts(spark, sf_dir):
     return gates.commit_counts(by_repo(orders.filter("o_custkey % 11 <> 0")), by_repo(orders.filter("o_custkey % 7 <> 0 AND o_orderkey % 20 <> 1")))
 
 
-@query("SELECT o_orderpriority AS repo, count(*) AS commits, count(DISTINCT o_custkey) AS authors, CASE WHEN count(*) = 0 OR count(DISTINCT o_custkey) = 0 THEN 'REVIEW' ELSE 'OK' END AS status FROM orders GROUP BY 1")
-def manifest(spark, sf_dir):
-    out = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("repo")).agg(F.count(F.lit(1)).alias("commits"), F.count_distinct("o_custkey").alias("authors"))
-    return out.withColumn("status", F.when((F.col("commits") == 0) | (F.col("authors") == 0), "REVIEW").otherwise("OK"))
-
-
 @query("WITH r AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'Mx. Mask-me/' ELSE 'plain/' END AS folder, o_orderkey FROM orders) SELECT replace(folder, 'Mx. Mask-me', 'Person A') || CAST(o_orderkey AS VARCHAR) || '.csv' AS path, 'by ' || CASE WHEN o_orderkey % 3 = 0 THEN 'Person A' ELSE 'none' END AS text FROM r")
 def masked_paths(spark, sf_dir):
     hit = F.col("o_orderkey") % 3 == 0

@@ -134,7 +134,7 @@ def rule_merge_dedup(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     old = part.filter("p_partkey % 3 = 0").select(F.col("p_name").alias("lhs"), F.col("p_partkey").alias("ordinal"))
     new = part.select(F.col("p_name").alias("lhs"), (1_000_000 + F.col("p_partkey")).alias("ordinal"))
-    return old.union(new).groupBy("lhs").agg(F.min("ordinal").alias("ordinal"))
+    return identity.merged_rules(old, new)
 
 
 def _variant_sql(pad: int) -> str:
