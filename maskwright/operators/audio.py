@@ -18,10 +18,11 @@ def bounded(spans: DataFrame, ws: DataFrame) -> DataFrame:
 def finished(recordings: DataFrame, spans: DataFrame, ws: DataFrame) -> DataFrame:
     """Recordings (file, sr, samples) that have spans, with tones in their place: file, sr, samples, spans (as grown and merged, with where they began), seconds of tones.
 
-    Spans of a file that isn't there are left out, and a file without words has its spans grown to silence alone.
+    Spans of a file that isn't there are left out, and a file without words has its spans grown to silence alone. Spark takes an array for one element where it guesses sizes,
+    so the join names its way: recordings are never sent to the driver for a broadcast, and stream past the spans of their partition without a sort.
     """
     planned = bounded(spans, ws).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "end", "reason", "heard", "lo", "hi"))).alias("_planned"))
-    done = recordings.join(planned, "file").select("file", "sr", media.replaced_by_tones("sr", "samples", "_planned").alias("_d"))
+    done = recordings.join(planned.hint("shuffle_hash"), "file").select("file", "sr", media.replaced_by_tones("sr", "samples", "_planned").alias("_d"))
     return done.select("file", "sr", "_d.samples", "_d.spans", "_d.seconds")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import detect, patterns as P, redact
 from ..operators import audio, delivery, gates, history, images, records, speech
-from ..session import table
+from ..session import spread, table
 from .delivery import SECRET
 from .registry import ORACLES, query
 from .speech import _WORDS, _gazetteer, _words, script_quality
@@ -258,7 +258,7 @@ def _recordings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     span = lambda a, b, heard: F.struct((base + a).cast("double").alias("start"), (base + b).cast("double").alias("end"), F.lit("r").alias("reason"), F.lit(heard).alias("heard"))
     spans = conv.select("file", F.inline(F.array(span(0.125, 0.25, "one"), span(0.25, 0.375, "two"))))
     ws = conv.filter("conv_id % 2 = 0").select("file", (base + 0.0).cast("double").alias("s"), (base + 0.125).cast("double").alias("e"))
-    return conv.select("file", F.lit(4000).alias("sr"), sound.alias("samples")), spans, ws
+    return spread(conv, "file").select("file", F.lit(4000).alias("sr"), sound.alias("samples")), spans, ws
 
 
 @query(f"""SELECT CAST(conv_id AS VARCHAR) AS file, {_BASE} + CASE WHEN conv_id % 2 = 0 THEN 0.125 ELSE -0.175 END::DOUBLE AS "start", {_BASE} + 0.675::DOUBLE AS "end", 'one two' AS heard, {_BASE} + 0.125::DOUBLE AS orig_start FROM (SELECT DISTINCT conv_id FROM conversations)""")

@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Small rows dealt by their keys over the session's shuffle partitions, before they grow: neither a file of one row group nor Spark's joining of small partitions leaves the work to one task."""
+    return df.repartition(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to spark.checkpoint.dir; without one a session on one machine (tests) gets a local folder, any other an error."""
     sc = df.sparkSession.sparkContext
