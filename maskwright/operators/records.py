@@ -6,8 +6,9 @@ elements: file, patient, path, keyword, vr, grp (group number), value.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,41 +18,57 @@ from .gates import needle_hits
 from .ranking import numbered
 
 
-ELEMENT = T.StructType([T.StructField(c, T.IntegerType() if c == "grp" else T.StringType()) for c in ("path", "keyword", "vr", "grp", "value")])
-
-
-@F.pandas_udf(T.ArrayType(ELEMENT))
-def _flat(content: pd.Series) -> pd.Series:
-    def one(text: str | None) -> list[dict] | None:
-        try:
-            whole = json.loads(text)
-        except (TypeError, ValueError):
-            return None
-        if not isinstance(whole, dict):
-            return None
-        out, open_ = [], [("", whole)]
-        while open_:
-            above, record = open_.pop()
-            for tag, e in record.items():
-                if not isinstance(e, dict) or not (len(tag) == 8 and all(c in "0123456789abcdefABCDEF" for c in tag)):
-                    continue
-                keyword, values = e.get("keyword") or tag, e.get("Value") or []
-                path = above + keyword
-                if e.get("vr") == "SQ":
-                    open_ += [(f"{path}/{i}/", item) for i, item in enumerate(values) if isinstance(item, dict)]
-                    continue
-                plain = [v.get("Alphabetic", "") if isinstance(v, dict) else str(v) for v in values]
-                out.append({"path": path, "keyword": keyword, "vr": e.get("vr"), "grp": int(tag[:4], 16), "value": "\\".join(plain)})
-        return out
-
-    return content.map(one)
+ELEMENT = (("path", pa.string()), ("keyword", pa.string()), ("vr", pa.string()), ("grp", pa.int32()), ("value", pa.string()))
+#: Characters of records that are taken apart before their elements are given back.
+STRETCH = 1 << 22
+
+
+def _elements(text: str | None) -> Iterator[tuple]:
+    """path, keyword, vr, group and value of each element of a record; none if it is no record."""
+    try:
+        whole = json.loads(text)
+    except (TypeError, ValueError):
+        return
+    if not isinstance(whole, dict):
+        return
+    open_ = [("", whole)]
+    while open_:
+        above, record = open_.pop()
+        for tag, e in record.items():
+            if not isinstance(e, dict) or not (len(tag) == 8 and all(c in "0123456789abcdefABCDEF" for c in tag)):
+                continue
+            keyword, values = e.get("keyword") or tag, e.get("Value") or []
+            path = above + keyword
+            vr = e.get("vr")
+            if vr == "SQ":
+                open_ += [(f"{path}/{i}/", item) for i, item in enumerate(values) if isinstance(item, dict)]
+                continue
+            plain = [v.get("Alphabetic", "") if isinstance(v, dict) else str(v) for v in values]
+            yield path, keyword, vr if vr is None or isinstance(vr, str) else str(vr), int(tag[:4], 16), "\\".join(plain)
 
 
 def flattened(records: DataFrame, content: str, *keep: str) -> DataFrame:
     """Rows of elements from records in the JSON model of the DICOM standard (tag -> vr, Value, and a keyword), with the columns of `keep`. Items of sequences, however
     deep, get their place in the path; several values are joined by a backslash; what is no record gives no rows. Elements of OriginalAttributesSequence are left out, as they repeat what was there before."""
-    flat = records.select(*keep, F.inline(_flat(content)))
-    return flat.filter(~F.col("path").rlike("(^|/)OriginalAttributesSequence/"))
+    types = {"grp": T.IntegerType()}
+    rows = records.select(*keep, F.col(content).alias("_content"))
+    schema = T.StructType([f for f in rows.schema if f.name != "_content"] + [T.StructField(c, types.get(c, T.StringType())) for c, _ in ELEMENT])
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found, size = [], [], 0
+            for i in range(batch.num_rows):
+                text = batch["_content"][i].as_py()
+                before = len(found)
+                found.extend(_elements(text))
+                at += [i] * (len(found) - before)
+                size += len(text or "")
+                if size >= STRETCH or i == batch.num_rows - 1:
+                    places, columns = pa.array(at, pa.int64()), list(zip(*found)) or [()] * len(ELEMENT)
+                    yield pa.RecordBatch.from_arrays([*(batch[c].take(places) for c in keep), *(pa.array(v, kind) for v, (_, kind) in zip(columns, ELEMENT, strict=True))], names=schema.names)
+                    at, found, size = [], [], 0
+
+    return rows.mapInArrow(flat, schema).filter(~F.col("path").rlike("(^|/)OriginalAttributesSequence/"))
 
 
 def blanked(elements: DataFrame, device_texts: list[str] = ()) -> DataFrame:

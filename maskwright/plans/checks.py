@@ -120,7 +120,7 @@ def _record(spark: SparkSession, sf_dir: str) -> DataFrame:
         e("00080018", "UI", "SOPInstanceUID", text(F.lit("1.2.3."), k.cast("string"))), F.lit(","), e("0020000D", "UI", "StudyInstanceUID", uids), F.lit(","), e("00080020", "DA", "StudyDate", text(F.lit("20200131"))), F.lit(","),
         F.lit('"00290010":{"vr":"LO","keyword":"PrivateCreator","Value":["x"]},'), e("0040A730", "SQ", "ContentSequence", item), F.lit(","), e("04000561", "SQ", "OriginalAttributesSequence", item), F.lit("}"),
     )
-    return table(spark, sf_dir, "customer").select(F.concat(F.lit("p"), k.cast("string"), F.lit("/scan.dcm")).alias("file"), k.cast("string").alias("patient"), whole.alias("content"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey").select(F.concat(F.lit("p"), k.cast("string"), F.lit("/scan.dcm")).alias("file"), k.cast("string").alias("patient"), whole.alias("content"))
 
 
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:

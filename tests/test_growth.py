@@ -15,3 +15,16 @@ def test_recordings_are_not_broadcast(spark):
     top = plan[: plan.index("[file#", plan.index("Join")) + 1]
     assert "ShuffledHashJoin" in top and "BuildRight" in plan[plan.index("ShuffledHashJoin") :].splitlines()[0]
     assert [len(r.samples) for r in done.collect()] == [800]
+
+
+def test_records_are_dealt_and_taken_apart_in_stretches(spark, monkeypatch):
+    import json
+
+    from maskwright.operators import records
+    from maskwright.plans import checks
+
+    assert checks._record(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+    rows = [(f"f{i}", json.dumps({"00100010": {"vr": 5 if i == 3 else "PN", "Value": [i]}})) for i in range(9)] + [("x", None), ("y", "[]")]
+    monkeypatch.setattr(records, "STRETCH", 50)
+    got = records.flattened(spark.createDataFrame(rows, "file string, content string").coalesce(1), "content", "file").collect()
+    assert sorted((r.file, r.vr, r.grp, r.value) for r in got) == [(f"f{i}", "5" if i == 3 else "PN", 16, str(i)) for i in range(9)]
