@@ -28,3 +28,20 @@ def test_records_are_dealt_and_taken_apart_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(records, "STRETCH", 50)
     got = records.flattened(spark.createDataFrame(rows, "file string, content string").coalesce(1), "content", "file").collect()
     assert sorted((r.file, r.vr, r.grp, r.value) for r in got) == [(f"f{i}", "5" if i == 3 else "PN", 16, str(i)) for i in range(9)]
+
+
+def test_many_needles_take_one_reading(spark):
+    import random
+
+    from maskwright.operators import gates
+
+    draw = random.Random(3)
+    word = lambda n: "".join(draw.choice("aBß1# é") for _ in range(n))
+    texts = [(i, None if i == 7 else word(draw.choice((0, 1, 5, 40, 200)))) for i in range(120)]
+    some = [t[a : a + n].swapcase() for _, t in texts if t and len(t) > 90 for a, n in ((3, 70), (5, 33), (0, 9), (len(t) - 6, 6))]
+    values = sorted({v for v in [*some, *(word(n) for n in (1, 1, 2, 2, 3, 4, 5, 90)), "a"] if any(c in "aB1" for c in v)})
+    seen = spark.createDataFrame(texts, "id long, text string")
+    got = gates.needle_hits(seen, "id", "text", spark.createDataFrame([(v,) for v in values], "v string"), "v", mode="upper", least=1, at_once=3)
+    assert plan_of(got).count("MapInArrow places") == 1
+    want = {(v, i) for i, t in texts for v in values if t and v.upper() in t.upper() and any(c in "AaBb1" for c in v)}
+    assert {(r.value, r.doc) for r in got.collect()} == want and len(want) > 100
