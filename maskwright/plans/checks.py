@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import detect, patterns as P, redact
 from ..operators import audio, delivery, gates, history, images, records, speech
-from ..session import spread, table
+from ..session import cut_lineage, spread, table
 from .delivery import SECRET
 from .registry import ORACLES, query
 from .speech import _WORDS, _gazetteer, _words, script_quality
@@ -145,8 +145,8 @@ def records_flat(spark, sf_dir):
     return _flat(spark, sf_dir).select("file", "path", "vr", "grp", "value")
 
 
-def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _flat(spark, sf_dir)
+def _final(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
+    flat = _flat(spark, sf_dir) if flat is None else flat
     return records.deidentified(flat, records.patients(flat.select("patient"), SECRET), SECRET)
 
 
@@ -164,7 +164,8 @@ def secondary_captures(spark, sf_dir):
 UNION ALL SELECT 'references', count(*), 0, 'PASS' FROM customer UNION ALL SELECT 'private elements', count(*), count_if(c_custkey % 40 = 0)::BIGINT, 'FAIL' FROM customer UNION ALL SELECT 'pictures', 0, 0, 'UNPROVEN'""")
 def record_checks(spark, sf_dir):
     """Finished records in which some names and some private elements were left."""
-    before, after = _flat(spark, sf_dir), _final(spark, sf_dir)
+    before = cut_lineage(_flat(spark, sf_dir))  # read by a dozen branches
+    after = _final(spark, sf_dir, before)
     number = F.col("patient").cast("long")
     left = before.filter((number % 40 == 0) & (F.col("grp") == 41))
     told = before.filter((number % 50 == 0) & (F.col("path") == "PatientName")).withColumn("path", F.lit("StudyComments")).withColumn("keyword", F.lit("StudyComments")).withColumn("value", F.lower("value"))
@@ -176,7 +177,8 @@ def record_checks(spark, sf_dir):
 @query("SELECT 'references' AS gate, count(*) AS checked, 1::BIGINT AS violations, 'FAIL' AS verdict FROM customer")
 def record_links_broken(spark, sf_dir):
     """The same where a map has missed the references: as many as before, but they lead nowhere."""
-    before, after = _flat(spark, sf_dir), _final(spark, sf_dir)
+    before = cut_lineage(_flat(spark, sf_dir))  # read by a dozen branches
+    after = _final(spark, sf_dir, before)
     own = F.col("keyword") == "ReferencedSOPInstanceUID"
     broken = after.filter(~own).union(before.filter(own).select(after.columns))
     names = table(spark, sf_dir, "customer").filter("c_custkey < 0").select(F.col("c_name").alias("value"))
