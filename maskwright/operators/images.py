@@ -70,10 +70,21 @@ def capture_boxes(images: DataFrame) -> DataFrame:
     return images.select("image", boxes.alias("boxes"))
 
 
+#: Parts of an image that are joined to what belongs to the image apart from each other.
+IMAGE_PARTS = 64
+
+
+def with_image(pixels: DataFrame, own: DataFrame, how: str = "inner") -> DataFrame:
+    """Pixels with the columns of their image's row (image, ...). A large image's pixels don't meet in one task: they are dealt by their place, and the image's row is repeated for each part."""
+    part = F.pmod(F.xxhash64("x", "y"), F.lit(IMAGE_PARTS)).cast("int")
+    repeated = own.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(IMAGE_PARTS - 1))))
+    return pixels.withColumn("_part", part).join(repeated, ["image", "_part"], how).drop("_part")
+
+
 def masked(pixels: DataFrame, boxes: DataFrame, fills: DataFrame, value: str = "value") -> DataFrame:
     """Pixels with those in a box of their image set to the image's fill (image, fill). Boxes are a list on each image's row, so pixels aren't multiplied."""
     per_image = boxes.join(fills.select("image", "fill"), "image")
-    joined = pixels.join(per_image, "image", "left")
+    joined = with_image(pixels, per_image, "left")
     return joined.withColumn(value, F.when(inside(F.col("boxes")), F.col("fill")).otherwise(F.col(value))).drop("boxes", "fill")
 
 
@@ -86,7 +97,7 @@ def coarse(pixels: DataFrame, sizes: DataFrame, edge: int = 16, value: str = "va
 
     Blocks aren't smoothed into each other, which takes nothing away further."""
     step = F.ceil(F.greatest("width", "height") / edge)
-    placed = pixels.join(sizes.select("image", step.alias("_step")), "image").withColumn("_bx", F.floor(F.col("x") / F.col("_step"))).withColumn("_by", F.floor(F.col("y") / F.col("_step")))
+    placed = with_image(pixels, sizes.select("image", step.alias("_step"))).withColumn("_bx", F.floor(F.col("x") / F.col("_step"))).withColumn("_by", F.floor(F.col("y") / F.col("_step")))
     means = placed.groupBy("image", "_bx", "_by").agg(F.avg(value).alias("_mean"))
     return placed.join(means, ["image", "_bx", "_by"]).withColumn(value, F.col("_mean")).drop("_step", "_bx", "_by", "_mean")
 
@@ -100,4 +111,4 @@ def painted(pixels: DataFrame, words: DataFrame, value: str = "value", blank: fl
     filled = at.join(pixels.select("image", "x", "y", F.col(value).alias("_fill")), ["image", "x", "y"], "left").withColumn("_fill", F.coalesce("_fill", F.lit(blank)))
     boxes = filled.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("_box.y0", "_box.x0", "_box.y1", "_box.x1", "_fill"))).alias("_boxes"))
     over = F.filter("_boxes", lambda b: F.col("x").between(b["x0"], b["x1"]) & F.col("y").between(b["y0"], b["y1"]))
-    return pixels.join(boxes, "image", "left").withColumn(value, F.coalesce(F.try_element_at(over, F.lit(-1))["_fill"], F.col(value))).drop("_boxes")
+    return with_image(pixels, boxes, "left").withColumn(value, F.coalesce(F.try_element_at(over, F.lit(-1))["_fill"], F.col(value))).drop("_boxes")

@@ -45,3 +45,22 @@ def test_many_needles_take_one_reading(spark):
     assert plan_of(got).count("MapInArrow places") == 1
     want = {(v, i) for i, t in texts for v in values if t and v.upper() in t.upper() and any(c in "AaBb1" for c in v)}
     assert {(r.value, r.doc) for r in got.collect()} == want and len(want) > 100
+
+
+def test_pixels_of_an_image_are_dealt(spark):
+    from pyspark.sql import functions as F
+
+    from maskwright.operators import images
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        pixels = spark.range(4000).select(F.lit("i").alias("image"), (F.col("id") % 50).cast("int").alias("x"), F.floor(F.col("id") / 50).cast("int").alias("y"), F.lit(1.0).alias("value"))
+        boxes = spark.sql("SELECT 'i' AS image, array(named_struct('x0', 0L, 'y0', 0L, 'x1', 10L, 'y1', 10L)) AS boxes")
+        out = images.masked(pixels, boxes, spark.sql("SELECT 'i' AS image, 5.0D AS fill"))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2000 and out.filter("value = 5").count() == 100
+        assert out.columns == ["image", "x", "y", "value"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
