@@ -64,3 +64,21 @@ def test_pixels_of_an_image_are_dealt(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_archives_go_through_one_after_another(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from maskwright.functions import media
+
+    rows = [[{"name": f"{i}.bin", "content": bytes([i, k]) * 50_000} for i in range(20)] for k in range(20)]
+    entries = pa.array([*rows, None, []], media._ENTRIES)
+    tracemalloc.start()
+    packed = media.zip_of.func(entries)
+    back = media.zip_entries.func(packed)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 10_000_000 < back.nbytes  # Python's own bytes: those of one archive
+    assert back.to_pylist() == [*rows, None, []] and media.zip_entries.func(pa.array([b"PK?", None], pa.binary())).to_pylist() == [None, None]
