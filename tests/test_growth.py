@@ -82,3 +82,12 @@ def test_archives_go_through_one_after_another(spark):
     tracemalloc.stop()
     assert most < 10_000_000 < back.nbytes  # Python's own bytes: those of one archive
     assert back.to_pylist() == [*rows, None, []] and media.zip_entries.func(pa.array([b"PK?", None], pa.binary())).to_pylist() == [None, None]
+
+
+def test_hits_are_given_back_before_a_batch_ends(spark, monkeypatch):
+    from maskwright.operators import gates
+
+    monkeypatch.setattr(gates, "FLUSH", 2)
+    texts = spark.createDataFrame([(i, "say needle, other pin") for i in range(7)], "id long, text string").coalesce(1)
+    hits = gates.needle_hits(texts, "id", "text", spark.createDataFrame([("needle",), ("other",)], "v string"), "v")
+    assert sorted((r.doc, r.value) for r in hits.collect()) == [(i, v) for i in range(7) for v in ("needle", "other")]
